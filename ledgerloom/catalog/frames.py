@@ -29,10 +29,13 @@ class Frames:
         # Dates are derived from timestamps; the check engine works in UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
+        self._views: dict[str, DataFrame] = {}
         self.run_1, self.run_2 = (F.lit(t).cast("timestamp") for t in (RUN_1, RUN_2))
 
     def staged(self, view: str) -> DataFrame:
-        return staged_view(self.spark, self.sf_dir, view)
+        if view not in self._views:
+            self._views[view] = staged_view(self.spark, self.sf_dir, view)
+        return self._views[view]
 
     @cached_property
     def staging(self) -> dict[str, DataFrame]:

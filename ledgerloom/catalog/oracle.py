@@ -45,6 +45,8 @@ _BAND = """CASE WHEN bureau_score IS NULL THEN NULL WHEN bureau_score < 500 THEN
 _TX_ORDER = """load_ts DESC, row_id DESC, account_source_id DESC, transaction_date DESC, amount DESC,
     transaction_type DESC, dpd_snapshot DESC"""
 _SIGNED = "CASE transaction_type WHEN 'REPAYMENT' THEN -amount ELSE amount END"
+# The feature column holds two digits before and four after the point; what does not fit is empty.
+_RATIO = "CASE WHEN credit_limit > 0 AND abs(outstanding_balance) < 99.99995 * credit_limit THEN round(outstanding_balance::DOUBLE / credit_limit::DOUBLE, 4) END"
 _STAGE = "CASE WHEN {0} > 90 THEN 3 WHEN {0} > 30 THEN 2 ELSE 1 END"
 
 
@@ -254,7 +256,7 @@ def _features(history: str) -> str:
           CAST(cents_12 / 100 AS DECIMAL(18,2)) AS avg_balance_12m, payment_volatility_6m,
           coalesce(n_missed_payments_12m, 0) AS n_missed_payments_12m, bureau_score_current, bureau_score_delta_6m,
           1 AS months_since_onboarding, CAST(1 AS BIGINT) AS batch_id
-        FROM (SELECT customer_key, round(outstanding_balance::DOUBLE / nullif(credit_limit, 0)::DOUBLE, 4) AS utilization_ratio,
+        FROM (SELECT customer_key, {_RATIO} AS utilization_ratio,
                 dpd_current, max(dpd_current) OVER w6 AS dpd_max_last_6m, dpd_current - lag(dpd_current, 3) OVER w AS dpd_trend,
                 {mean('w3')} AS cents_3, {mean('w12')} AS cents_12,
                 round(stddev_samp(outstanding_balance::DOUBLE) OVER w6, 4) AS payment_volatility_6m,
@@ -437,7 +439,7 @@ _FINAL = {
     "ntile_buckets": """SELECT account_source_id, CAST(ntile(10) OVER (
         ORDER BY outstanding_balance::DOUBLE / credit_limit::DOUBLE, account_source_id) AS INT) AS bucket
         FROM exposure WHERE credit_limit > 0""",
-    "psi_ntile": """WITH feats AS (SELECT date_key, round(outstanding_balance::DOUBLE / nullif(credit_limit, 0)::DOUBLE, 4) AS u FROM (
+    "psi_ntile": f"""WITH feats AS (SELECT date_key, {_RATIO} AS u FROM (
             SELECT *, row_number() OVER (PARTITION BY date_key, customer_key ORDER BY account_source_id DESC) AS rn FROM exposures) t
             WHERE rn = 1),
           tiles AS (SELECT date_key < 20000601 AS is_ref, u, ntile(10) OVER (PARTITION BY date_key < 20000601 ORDER BY u) AS bucket

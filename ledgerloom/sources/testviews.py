@@ -8,6 +8,9 @@ missing segments, unknown owners, repeated keys).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.convert import empty_to_null
 
 TABLES = ("nation", "customer", "orders", "lineitem", "events")
 
@@ -115,12 +118,16 @@ def supplied_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def staged_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """One staging-shaped view as a DataFrame. Empty text is NULL, as after ingestion."""
+    """One staging-shaped view as a DataFrame. Empty text is NULL, as after ingestion; only
+    the transaction date is ever empty in these views."""
     text = VIEWS[view]
     used = {t: supplied_table(spark, sf_dir, t) for t in TABLES if t in text}
     for table in used:
         text = _qualify(text, table)
-    return spark.sql(text, **used).replace("", None)
+    staged = spark.sql(text, **used)
+    if view == "stg_transactions":
+        staged = staged.withColumn("transaction_date", empty_to_null(F.col("transaction_date")))
+    return staged
 
 
 def _qualify(text: str, table: str) -> str:
