@@ -15,7 +15,7 @@ from ledgerloom.plans.facts import (account_state, baseline_scenario, exposure_h
 from ledgerloom.schemas import dim_branch, dim_macro_scenario, dim_product
 from ledgerloom.session import materialize
 from ledgerloom.sources.calendar import dim_date, month_ends
-from ledgerloom.sources.testviews import staged_view
+from ledgerloom.sources.testviews import staged_view, supplied_table
 
 AS_OF = date(2000, 12, 31)
 CALENDAR = ("1995-01-01", "2030-12-31")
@@ -30,13 +30,19 @@ class Frames:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
         self._views: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
         self.run_1, self.run_2 = (F.lit(t).cast("timestamp") for t in (RUN_1, RUN_2))
 
     def staged(self, view: str) -> DataFrame:
         if view not in self._views:
-            self._views[view] = staged_view(self.spark, self.sf_dir, view)
+            self._views[view] = staged_view(self.spark, view, self.table)
         return self._views[view]
 
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = supplied_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
+
     @cached_property
     def staging(self) -> dict[str, DataFrame]:
         return {t: self.staged(t) for t in ("stg_customers", "stg_accounts", "stg_transactions", "stg_credit_bureau")}
@@ -135,4 +141,4 @@ class Frames:
         return fact_rating_history(self.bureau, self.dim_customer, self.dates, 1)
 
     def state(self) -> DataFrame:
-        return account_state(self.transactions, [AS_OF], CALENDAR_START)
+        return account_state(self.transactions, AS_OF, CALENDAR_START)

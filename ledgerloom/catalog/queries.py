@@ -18,9 +18,9 @@ from ledgerloom.operators.dense import dense_index, ntile
 from ledgerloom.operators.hierarchy import expand_hierarchy
 from ledgerloom.operators.rules import rule_report
 from ledgerloom.operators.upsert import upsert
-from ledgerloom.operators.validation import REASON, quarantine_rows, valid_rows
+from ledgerloom.operators.validation import REASON, quarantine_rows
 from ledgerloom.plans import drift, portfolio, quality
-from ledgerloom.plans.cleanse import CLEANSERS, classify, staged_columns, typed
+from ledgerloom.plans.cleanse import CLEANSERS, classify, staged_columns, typed, valid_values
 from ledgerloom.plans.customer_dim import latest_score
 from ledgerloom.plans.facts import ecl_inputs, union_all
 from ledgerloom.plans.features import (bureau_features, customer_risk_features, exposure_tail, missed_payments,
@@ -139,8 +139,7 @@ def typed_values(f):
 @query
 def superseded_rows(f):
     """Valid transactions that lose to a newer row of the same id."""
-    valid = valid_rows(_classified(f, "transactions"), staged_columns("transactions"))
-    return superseded_counts(valid, ["transaction_id"])
+    return superseded_counts(valid_values("transactions", _classified(f, "transactions")), ["transaction_id"])
 
 
 @query
@@ -150,10 +149,11 @@ def row_conservation(f):
     for table, spec in CLEANSERS.items():
         if table == "macro_indicators":
             continue
+        judged = _classified(f, table)
         keys = [F.col(k) for k in spec.keys]
         if table == "credit_bureau":
             keys = [F.col("customer_source_id"), to_date(F.col("report_date")).alias("report_date")]
-        per_key = (_classified(f, table).select(*keys, F.col(REASON).isNotNull().alias("rejected"))
+        per_key = (judged.select(*keys, F.col(REASON).isNotNull().alias("rejected"))
                    .groupBy(*spec.keys, "rejected").agg(F.count("*").alias("n")))
         parts.append(per_key.agg(
             F.sum("n").alias("staged"), F.sum(F.when(F.col("rejected"), F.col("n")).otherwise(0)).alias("quarantined"),
@@ -268,12 +268,12 @@ def surrogate_keys(f):
 @query
 def flagship_stage_exposure(f):
     """Exposure and accounts per stage at the as-of date, from raw rows to the figure."""
-    dpd = F.coalesce("dpd_0", F.lit(0))
+    dpd = F.coalesce("dpd", F.lit(0))
     book = (f.accounts.select("account_source_id", "product_code", "credit_limit")
             .join(f.products.select("product_code"), "product_code").join(f.state(), "account_source_id", "left"))
     return (book.groupBy(ifrs9_stage(dpd).alias("ifrs9_stage"))
             .agg(F.count("*").alias("n_accounts"),
-                 F.sum(F.coalesce("balance_0", F.lit(0))).cast("decimal(28,2)").alias("outstanding_balance"),
+                 F.sum(F.coalesce("balance", F.lit(0))).cast("decimal(28,2)").alias("outstanding_balance"),
                  F.sum("credit_limit").cast("decimal(28,2)").alias("credit_limit"))
             .orderBy("ifrs9_stage"))
 

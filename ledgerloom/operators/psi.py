@@ -36,17 +36,16 @@ def psi_terms(reference_n: Column, reference_total: Column, n: Column, total: Co
     return (cur - ref) * F.ln(cur / ref)
 
 
-def psi_by_period(binned: DataFrame, edges: dict[str, list[float]], reference_period: str,
+def psi_by_period(counts: DataFrame, edges: dict[str, list[float]], reference_period: str,
                   min_values: int = 0) -> DataFrame:
-    """(feature, period, psi) from rows (feature, period, bin).
+    """(feature, period, psi) from class counts (feature, period, bin, n).
 
-    The long frame is counted once into one row per feature and period, holding an array of
-    class counts; everything after that is a handful of rows. ``min_values`` returns 0 when
-    either population is smaller.
+    The input is a handful of rows already; they become one row per feature and period with
+    an array of counts. ``min_values`` returns 0 when either population is smaller.
     """
     width = max(len(e) - 1 for e in edges.values())
-    counts = F.array(*[F.count_if(F.col("bin") == i) for i in range(width)])
-    per_period = binned.groupBy("feature", "period").agg(counts.alias("counts"), F.count("bin").alias("total"))
+    in_class = [F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)) for i in range(width)]
+    per_period = counts.groupBy("feature", "period").agg(F.array(*in_class).alias("counts"), F.sum("n").alias("total"))
     reference = per_period.where(F.col("period") == reference_period).select(
         "feature", F.col("counts").alias("ref_counts"), F.col("total").alias("ref_total"))
     classes = reduce(lambda chain, item: chain.when(F.col("feature") == item[0], len(item[1]) - 1),

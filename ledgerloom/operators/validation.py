@@ -29,10 +29,6 @@ def with_reason(staged: DataFrame, rules: list[Rule]) -> DataFrame:
     return staged.withColumn(REASON, chain)
 
 
-def valid_rows(classified: DataFrame, columns: list[str]) -> DataFrame:
-    return classified.where(F.col(REASON).isNull()).select(*columns)
-
-
 def quarantine_rows(classified: DataFrame, source_table: str, columns: list[str],
                     batch_id: int, run_ts: Column) -> DataFrame:
     """Rejected rows with the reason and the raw row as JSON (NULL fields left out)."""

@@ -15,31 +15,34 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.convert import to_bit, to_date, to_decimal, to_int
 from ledgerloom.operators.dedup import newest_row
-from ledgerloom.operators.validation import Rule, flag_known, valid_rows, with_reason
+from ledgerloom.operators.validation import REASON, Rule, flag_known, with_reason
 from ledgerloom.schemas import STAGING_COLUMNS
 
 _KNOWN = "_parent_known"
+_TYPED = "_typed_"
 _META = ["row_id", "load_ts"]
 
 
+def _typed(column: str) -> Column:
+    return F.col(_TYPED + column)
+
+
 # Wording of the rejection reasons, in order of precedence per table.
 def _customer_rules() -> list[Rule]:
-    birth = F.col("birth_date")
     return [
         ("customer_source_id NULL", F.col("customer_source_id").isNull()),
-        ("birth_date non convertible", birth.isNotNull() & to_date(birth).isNull()),
+        ("birth_date non convertible", F.col("birth_date").isNotNull() & _typed("birth_date").isNull()),
         ("segment manquant", F.col("segment").isNull()),
     ]
 
 
 def _account_rules() -> list[Rule]:
-    limit = to_decimal(F.col("credit_limit"), 18, 2)
     return [
         ("account_source_id NULL", F.col("account_source_id").isNull()),
         ("customer_source_id inconnu en cleansed.customers", ~F.col(_KNOWN)),
-        ("credit_limit non convertible", limit.isNull()),
-        ("credit_limit négatif", limit < 0),
-        ("opening_date non convertible", to_date(F.col("opening_date")).isNull()),
+        ("credit_limit non convertible", _typed("credit_limit").isNull()),
+        ("credit_limit négatif", _typed("credit_limit") < 0),
+        ("opening_date non convertible", _typed("opening_date").isNull()),
     ]
 
 
@@ -47,23 +50,23 @@ def _transaction_rules() -> list[Rule]:
     return [
         ("transaction_id NULL", F.col("transaction_id").isNull()),
         ("account_source_id inconnu en cleansed.accounts", ~F.col(_KNOWN)),
-        ("amount non convertible", to_decimal(F.col("amount"), 18, 2).isNull()),
-        ("transaction_date non convertible", to_date(F.col("transaction_date")).isNull()),
+        ("amount non convertible", _typed("amount").isNull()),
+        ("transaction_date non convertible", _typed("transaction_date").isNull()),
     ]
 
 
 def _bureau_rules() -> list[Rule]:
-    score = to_int(F.col("bureau_score"))
+    score = _typed("bureau_score")
     return [
         ("customer_source_id inconnu en cleansed.customers", ~F.col(_KNOWN)),
         ("bureau_score hors plage [0,1000]", score.isNull() | ~score.between(0, 1000)),
-        ("report_date non convertible", to_date(F.col("report_date")).isNull()),
+        ("report_date non convertible", _typed("report_date").isNull()),
     ]
 
 
 def _macro_rules() -> list[Rule]:
     return [
-        ("period_date non convertible", to_date(F.col("period_date")).isNull()),
+        ("period_date non convertible", _typed("period_date").isNull()),
         ("country_code NULL", F.col("country_code").isNull()),
     ]
 
@@ -124,20 +127,32 @@ def staged_columns(table: str) -> list[str]:
 
 
 def classify(table: str, staged: DataFrame, parent: DataFrame | None = None) -> DataFrame:
-    """Every staged row with its rejection reason, NULL when it may enter cleansed."""
+    """Every staged row with its converted values (hidden columns) and its rejection reason,
+    NULL when it may enter cleansed.
+
+    Values are converted once, below the lookup of the parent: the rules and the cleansed row
+    share the result, and the valid rows travel as numbers and dates instead of text.
+    """
     spec = CLEANSERS[table]
+    out = staged.withColumns({_TYPED + c: value for c, value in spec.convert().items()})
     if spec.parent:
-        staged = flag_known(staged, parent, spec.parent[1], _KNOWN)
-    out = with_reason(staged, spec.rules())
-    return out.drop(_KNOWN)
+        out = flag_known(out, parent, spec.parent[1], _KNOWN)
+    return with_reason(out, spec.rules()).drop(_KNOWN)
+
+
+def valid_values(table: str, classified: DataFrame) -> DataFrame:
+    """Valid rows in their cleansed form, before duplicates are dropped."""
+    spec = CLEANSERS[table]
+    changed = spec.convert().keys()
+    values = [_typed(c).alias(c) if c in changed else F.col(c) for c in staged_columns(table)]
+    return classified.where(F.col(REASON).isNull()).select(*values)
 
 
 def typed(table: str, classified: DataFrame, batch_id: int, run_ts: Column) -> DataFrame:
     """Valid rows converted, newest per key. Keys are compared after conversion, so two
     spellings of one report date count as the same key."""
     spec = CLEANSERS[table]
-    converted = valid_rows(classified, staged_columns(table)).withColumns(spec.convert())
-    newest = newest_row(converted, list(spec.keys), ["load_ts", "row_id"])
+    newest = newest_row(valid_values(table, classified), list(spec.keys), ["load_ts", "row_id"])
     return newest.select(*STAGING_COLUMNS[spec.source], F.lit(batch_id).cast("bigint").alias("batch_id"),
                          run_ts.alias("updated_at"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.risk import drift_status, quarter_label, utilization
 from ledgerloom.operators.histogram import equal_width_class
 from ledgerloom.operators.psi import DRIFT_THRESHOLD, edge_class, psi_by_period, quantile_edges, tile_psi
-from ledgerloom.plans.facts import account_state, union_all
+from ledgerloom.plans.facts import account_spells, account_state, period_index, union_all, until_next
 from ledgerloom.sources.calendar import date_to_key
 
 CAP = 2.0            # fixed value: highest utilisation the reports distinguish
@@ -63,83 +63,89 @@ def snapshot_dates(transactions: DataFrame) -> tuple[date, list[tuple[str, date]
     return rows[0]["lo"], [(r["q"], r["hi"]) for r in rows]
 
 
-def _unfold(df: DataFrame, feature: str, periods: list[str], values: list[Column]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(p).alias("period"), v.cast("double").alias("value"))
-                      for p, v in zip(periods, values)])
-    return (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-            .select(F.lit(feature).alias("feature"), "period", "value"))
+# A feature frame holds (first, until, value): the value stands for the periods first .. until-1.
 
+def utilization_spells(transactions: DataFrame, accounts: DataFrame, days: list[date]) -> DataFrame:
+    """Utilisation of every account with a movement so far: negative balances count as zero
+    and the ratio is capped."""
+    if len(days) == 1:
+        state = account_state(transactions, days[0]).withColumns({"first": F.lit(0), "until": F.lit(1)})
+    else:
+        state = account_spells(transactions, days)
+    balance = F.col("balance")
+    floored = F.when(balance < 0, 0).otherwise(balance)
+    return (state.join(accounts.select("account_source_id", "credit_limit"), "account_source_id")
+            .select("first", "until", utilization(floored, F.col("credit_limit"), CAP).alias("value"))
+            .where(F.col("value").isNotNull()))
 
-def utilization_snapshots(transactions: DataFrame, accounts: DataFrame, periods: list[tuple[str, date]]) -> DataFrame:
-    """Utilisation of every account with a movement up to each date: negative balances count
-    as zero and the ratio is capped."""
-    days = [day for _, day in periods]
-    joined = account_state(transactions, days).join(
-        accounts.select("account_source_id", "credit_limit"), "account_source_id")
-    values = []
-    for i in range(len(days)):
-        balance = F.col(f"balance_{i}")
-        floored = F.when(balance < 0, 0).otherwise(balance)
-        values.append(F.when(balance.isNotNull(), utilization(floored, F.col("credit_limit"), CAP)))
-    return _unfold(joined, "utilization_ratio", [p for p, _ in periods], values)
 
-
-def dpd_snapshots(transactions: DataFrame, periods: list[tuple[str, date]]) -> DataFrame:
+def dpd_spells(transactions: DataFrame, days: list[date]) -> DataFrame:
     """Highest DPD per account among the transactions of exactly each date."""
-    days = sorted({day for _, day in periods})
     on_day = transactions.where(F.col("transaction_date").isin(days))
-    per_account = on_day.groupBy("account_source_id").agg(
-        *[F.max(F.when(F.col("transaction_date") == F.lit(d), F.col("dpd_snapshot"))).alias(f"d{i}")
-          for i, (_, d) in enumerate(periods)])
-    return _unfold(per_account, "dpd_current", [p for p, _ in periods],
-                   [F.col(f"d{i}") for i in range(len(periods))])
+    period = period_index(F.col("transaction_date"), days)
+    return (on_day.groupBy("account_source_id", period.alias("first")).agg(F.max("dpd_snapshot").alias("value"))
+            .where(F.col("value").isNotNull())
+            .select("first", (F.col("first") + 1).alias("until"), F.col("value").cast("double").alias("value")))
 
 
-def bureau_snapshots(bureau: DataFrame, periods: list[tuple[str, date]]) -> DataFrame:
+def bureau_spells(bureau: DataFrame, days: list[date]) -> DataFrame:
     """Latest score known at each date, per customer."""
-    known = bureau.where(F.col("report_date") <= F.lit(max(d for _, d in periods)))
-    per_customer = known.groupBy("customer_source_id").agg(
-        *[F.max_by("bureau_score", F.when(F.col("report_date") <= F.lit(d), F.col("report_date"))).alias(f"s{i}")
-          for i, (_, d) in enumerate(periods)])
-    return _unfold(per_customer, "bureau_score", [p for p, _ in periods],
-                   [F.col(f"s{i}") for i in range(len(periods))])
-
-
-def feature_snapshots(transactions: DataFrame, accounts: DataFrame, bureau: DataFrame,
-                      periods: list[tuple[str, date]]) -> dict[str, DataFrame]:
-    return {
-        "utilization_ratio": utilization_snapshots(transactions, accounts, periods),
-        "dpd_current": dpd_snapshots(transactions, periods),
-        "bureau_score": bureau_snapshots(bureau, periods),
+    known = bureau.where(F.col("report_date") <= F.lit(days[-1]))
+    latest = known.groupBy("customer_source_id", period_index(F.col("report_date"), days).alias("first")).agg(
+        F.max_by("bureau_score", "report_date").alias("value"))
+    return (latest.select("first", until_next("customer_source_id", len(days)).alias("until"),
+                          F.col("value").cast("double").alias("value"))
+            .where(F.col("value").isNotNull()))
+
+
+def feature_spells(transactions: DataFrame, accounts: DataFrame, bureau: DataFrame, days: list[date],
+                   features: list[str]) -> dict[str, DataFrame]:
+    """Feature frames for ascending ``days``."""
+    build = {
+        "utilization_ratio": lambda: utilization_spells(transactions, accounts, days),
+        "dpd_current": lambda: dpd_spells(transactions, days),
+        "bureau_score": lambda: bureau_spells(bureau, days),
     }
+    return {name: build[name]() for name in features}
+
+
+def class_counts_by_period(spells: DataFrame, class_of: Column, periods: list[str]) -> DataFrame:
+    """(period, bin, n). Stretches are counted before they are unfolded into periods, so the
+    unfolding touches a few rows per pair of periods, whatever the number of accounts."""
+    counted = spells.groupBy("first", "until", class_of.alias("bin")).agg(F.count("*").alias("n"))
+    labels = F.array(*[F.lit(p) for p in periods])
+    span = F.slice(labels, F.col("first") + 1, F.col("until") - F.col("first"))
+    return (counted.select(F.explode(span).alias("period"), "bin", "n")
+            .groupBy("period", "bin").agg(F.sum("n").alias("n")))
 
 
 # --- quantile PSI -----------------------------------------------------------------------------
 
-def quantile_psi(snapshots: dict[str, DataFrame], reference: dict[str, DataFrame], bins: int = 10,
+def quantile_psi(current: dict[str, DataFrame], periods: list[str], reference: dict[str, DataFrame], bins: int = 10,
                  unique_edges: bool = True, min_values: int = 10) -> DataFrame:
-    """(feature, period, psi) of every snapshot against its feature's reference.
+    """(feature, period, psi) of every period against its feature's reference values.
 
-    ``reference`` holds the same rows labelled ``reference``; its quantiles are found first and
-    reach the counting plan as literals, so the snapshots are binned without a join.
+    The reference quantiles are found first and reach the counting plan as literals, so values
+    are classed without a join.
     """
-    edges, binned = {}, []
-    for feature, frame in snapshots.items():
+    edges, counts = {}, []
+    for feature, spells in current.items():
         found = quantile_edges(reference[feature], "value", bins, unique_edges)
         edges[feature] = found or [float("-inf"), float("inf")]
-        both = frame.unionByName(reference[feature])
-        binned.append(both.select("feature", "period", edge_class(F.col("value"), edges[feature]).alias("bin")))
-    return psi_by_period(union_all(binned), edges, REFERENCE, min_values)
+        class_of = edge_class(F.col("value"), edges[feature])
+        for frame, labels in ((spells, periods), (reference[feature], [REFERENCE])):
+            counts.append(class_counts_by_period(frame, class_of, labels).select(
+                F.lit(feature).alias("feature"), "period", "bin", "n"))
+    return psi_by_period(union_all(counts), edges, REFERENCE, min_values)
 
 
-def psi_by_quarter(transactions: DataFrame, accounts: DataFrame, bureau: DataFrame,
-                   unique_edges: bool = True, min_values: int = 10, features: list[str] | None = None) -> DataFrame:
+def psi_by_quarter(transactions: DataFrame, accounts: DataFrame, bureau: DataFrame, unique_edges: bool = True,
+                   min_values: int = 10, features: tuple[str, ...] = tuple(FEATURE_LABELS)) -> DataFrame:
     """PSI of each quarter's last date against the first transaction date."""
     first, quarters = snapshot_dates(transactions)
-    current = feature_snapshots(transactions, accounts, bureau, quarters)
-    reference = feature_snapshots(transactions, accounts, bureau, [(REFERENCE, first)])
-    names = features or list(current)
-    return quantile_psi({n: current[n] for n in names}, {n: reference[n] for n in names},
+    current = feature_spells(transactions, accounts, bureau, [day for _, day in quarters], list(features))
+    reference = feature_spells(transactions, accounts, bureau, [first], list(features))
+    return quantile_psi(current, [name for name, _ in quarters], reference,
                         unique_edges=unique_edges, min_values=min_values)
 
 
@@ -157,13 +163,14 @@ def utilization_histogram(transactions: DataFrame, accounts: DataFrame, classes:
     """Reference and current utilisation in equal classes from 0 to ``top``; higher values
     count in the last class."""
     first, quarters = snapshot_dates(transactions)
-    pair = [(REFERENCE, first), ("current", quarters[-1][1])]
-    snapshots = utilization_snapshots(transactions, accounts, pair)
-    clipped = F.least("value", F.lit(top))
-    binned = snapshots.select("period", equal_width_class(clipped, 0.0, top, classes).alias("bin"))
-    counted = binned.agg(
-        *[F.count_if((F.col("period") == p) & (F.col("bin") == i)).alias(f"{p}_{i}")
-          for p, _ in pair for i in range(classes)])
+    parts = []
+    for period, day in ((REFERENCE, first), ("current", quarters[-1][1])):
+        clipped = F.least("value", F.lit(top))
+        bins = equal_width_class(clipped, 0.0, top, classes)
+        parts.append(class_counts_by_period(utilization_spells(transactions, accounts, [day]), bins, [period]))
+    counted = union_all(parts).agg(
+        *[F.coalesce(F.sum(F.when((F.col("period") == p) & (F.col("bin") == i), F.col("n"))), F.lit(0)).alias(f"{p}_{i}")
+          for p in (REFERENCE, "current") for i in range(classes)])
     rows = F.array(*[
         F.struct(F.lit(i).alias("ordinal"), F.lit(f"{top * i / classes:.2f}").alias("label"),
                  F.col(f"{REFERENCE}_{i}").alias("reference"), F.col(f"current_{i}").alias("current"))

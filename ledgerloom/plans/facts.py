@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.risk import event_type, ifrs9_stage, internal_rating, signed_amount
@@ -14,22 +14,55 @@ from ledgerloom.sources.calendar import date_to_key
 _BALANCE = "decimal(18,2)"
 
 
-def account_state(transactions: DataFrame, as_of: list[date], first_day: date | None = None) -> DataFrame:
-    """Balance and highest DPD ever per account, at each of several dates, in one aggregation.
-
-    Columns ``balance_<i>`` / ``dpd_<i>`` per date. Only rows up to the last date are read;
-    the per-account sums are combined map-side, so no account is too hot.
-    """
-    moved = transactions.where(F.col("transaction_date") <= F.lit(max(as_of)))
+def _movements(transactions: DataFrame, last_day: date, first_day: date | None) -> DataFrame:
+    moved = transactions.where(F.col("transaction_date") <= F.lit(last_day))
     if first_day:
         moved = moved.where(F.col("transaction_date") >= F.lit(first_day))
-    amount = signed_amount(F.col("transaction_type"), F.col("amount"))
-    measures = []
-    for i, day in enumerate(as_of):
-        counts = F.col("transaction_date") <= F.lit(day)
-        measures.append(F.sum(F.when(counts, amount)).alias(f"balance_{i}"))
-        measures.append(F.max(F.when(counts, F.col("dpd_snapshot"))).alias(f"dpd_{i}"))
-    return moved.groupBy("account_source_id").agg(*measures)
+    return moved
+
+
+_AMOUNT = ("transaction_type", "amount")
+
+
+def account_state(transactions: DataFrame, as_of: date, first_day: date | None = None) -> DataFrame:
+    """Balance and highest DPD ever per account at one date; summed map-side, so no account
+    is too hot, and only rows up to the date are read."""
+    return _movements(transactions, as_of, first_day).groupBy("account_source_id").agg(
+        F.sum(signed_amount(*map(F.col, _AMOUNT))).alias("balance"), F.max("dpd_snapshot").alias("dpd"))
+
+
+def period_index(day: Column, as_of: list[date]) -> Column:
+    """Position of the first as-of date not before ``day`` (dates ascending)."""
+    return reduce(Column.__add__, [(day > F.lit(d)).cast("int") for d in as_of[:-1]], F.lit(0))
+
+
+def until_next(key: str, periods: int) -> Column:
+    """Exclusive end of the stretch a row stands for: the key's next period with a row."""
+    return F.lead("first", 1, periods).over(Window.partitionBy(key).orderBy("first"))
+
+
+def account_spells(transactions: DataFrame, as_of: list[date], first_day: date | None = None,
+                   everyone: DataFrame | None = None) -> DataFrame:
+    """Balance and highest DPD per account over several as-of dates (ascending), as stretches.
+
+    A row (account, first, until, balance, dpd) holds for the dates ``first .. until-1``; an
+    account without movements between two dates needs no row for the second. Movements are
+    summed per account and date first, so the running sums see at most one row per date.
+    ``everyone`` starts each listed account at the first date with nothing.
+    """
+    rows = _movements(transactions, as_of[-1], first_day).select(
+        "account_source_id", period_index(F.col("transaction_date"), as_of).alias("first"),
+        signed_amount(*map(F.col, _AMOUNT)).cast(_BALANCE).alias("amount"), "dpd_snapshot")
+    if everyone is not None:
+        rows = rows.unionByName(everyone.select(
+            "account_source_id", F.lit(0).alias("first"), F.lit(0).cast(_BALANCE).alias("amount"),
+            F.lit(None).cast("int").alias("dpd_snapshot")))
+    summed = rows.groupBy("account_source_id", "first").agg(
+        F.sum("amount").alias("amount"), F.max("dpd_snapshot").alias("dpd"))
+    so_far = Window.partitionBy("account_source_id").orderBy("first").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return summed.select("account_source_id", "first", until_next("account_source_id", len(as_of)).alias("until"),
+                         F.sum("amount").over(so_far).alias("balance"), F.max("dpd").over(so_far).alias("dpd"))
 
 
 def baseline_scenario(scenarios: DataFrame) -> DataFrame:
@@ -38,42 +71,46 @@ def baseline_scenario(scenarios: DataFrame) -> DataFrame:
             .limit(1).select("scenario_key"))
 
 
-def exposure_history(accounts: DataFrame, transactions: DataFrame, dim_customer: DataFrame,
-                     products: DataFrame, branches: DataFrame, scenario_key: int,
-                     as_of: list[date], batch_id: int, calendar_start: date | None = None) -> DataFrame:
-    """One exposure row per account and as-of date.
-
-    Accounts of an unknown product, branch or customer drop out. Limits and the customer
-    version are those current now, for every date. ``account_source_id`` is kept as a
-    degenerate dimension. Several dates cost one pass: they are unfolded from one row per
-    account after the joins.
-    """
-    state = account_state(transactions, as_of, calendar_start)
+def _account_keys(accounts: DataFrame, dim_customer: DataFrame, products: DataFrame, branches: DataFrame) -> DataFrame:
+    """Accounts with their dimension keys; those of an unknown product, branch or customer drop out."""
     current = dim_customer.where("is_current").select("customer_source_id", "customer_key")
-    joined = (accounts.select("account_source_id", "customer_source_id", "product_code", "branch_code", "credit_limit")
-              .join(products.select("product_code", "product_key"), "product_code")
-              .join(branches.select("branch_code", "branch_key"), "branch_code")
-              .join(state, "account_source_id", "left")
-              .join(current, "customer_source_id"))
-    zero = F.lit(0)
-    snapshots = F.array(*[
-        F.struct(F.lit(date_to_key(day)).alias("date_key"),
-                 F.coalesce(F.col(f"balance_{i}"), zero).cast(_BALANCE).alias("outstanding_balance"),
-                 F.coalesce(F.col(f"dpd_{i}"), zero).alias("dpd_current"))
-        for i, day in enumerate(as_of)])
-    keys = ["customer_key", "product_key", "branch_key", "account_source_id", "credit_limit"]
-    return (joined.select(*keys, F.inline(snapshots))
-            .select("date_key", "customer_key", "product_key", "branch_key",
-                    F.lit(scenario_key).alias("scenario_key"), "account_source_id", "outstanding_balance",
-                    "credit_limit", "dpd_current", ifrs9_stage(F.col("dpd_current")).alias("ifrs9_stage"),
-                    F.lit(batch_id).cast("bigint").alias("batch_id")))
+    return (accounts.select("account_source_id", "customer_source_id", "product_code", "branch_code", "credit_limit")
+            .join(products.select("product_code", "product_key"), "product_code")
+            .join(branches.select("branch_code", "branch_key"), "branch_code")
+            .join(current, "customer_source_id"))
+
+
+def _exposure_columns(df: DataFrame, date_key: Column, scenario_key: int, batch_id: int) -> DataFrame:
+    dpd = F.coalesce("dpd", F.lit(0))
+    return df.select(
+        date_key.alias("date_key"), "customer_key", "product_key", "branch_key",
+        F.lit(scenario_key).alias("scenario_key"), "account_source_id",
+        F.coalesce("balance", F.lit(0)).cast(_BALANCE).alias("outstanding_balance"), "credit_limit",
+        dpd.alias("dpd_current"), ifrs9_stage(dpd).alias("ifrs9_stage"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"))
 
 
 def fact_exposure(accounts: DataFrame, transactions: DataFrame, dim_customer: DataFrame,
                   products: DataFrame, branches: DataFrame, scenario_key: int, as_of: date,
                   batch_id: int, calendar_start: date | None = None) -> DataFrame:
-    return exposure_history(accounts, transactions, dim_customer, products, branches, scenario_key,
-                            [as_of], batch_id, calendar_start)
+    """One exposure row per account at one date. Limits and the customer version are those
+    current now. ``account_source_id`` is kept as a degenerate dimension."""
+    state = account_state(transactions, as_of, calendar_start)
+    joined = _account_keys(accounts, dim_customer, products, branches).join(state, "account_source_id", "left")
+    return _exposure_columns(joined, F.lit(date_to_key(as_of)), scenario_key, batch_id)
+
+
+def exposure_history(accounts: DataFrame, transactions: DataFrame, dim_customer: DataFrame,
+                     products: DataFrame, branches: DataFrame, scenario_key: int,
+                     as_of: list[date], batch_id: int, calendar_start: date | None = None) -> DataFrame:
+    """The exposure rows of several dates in one pass over the transactions; stretches are
+    unfolded into dates only after the joins."""
+    days = sorted(as_of)
+    spells = account_spells(transactions, days, calendar_start, accounts)
+    keys = F.array(*[F.lit(date_to_key(d)) for d in days])
+    joined = _account_keys(accounts, dim_customer, products, branches).join(spells, "account_source_id")
+    dated = joined.withColumn("day", F.explode(F.slice(keys, F.col("first") + 1, F.col("until") - F.col("first"))))
+    return _exposure_columns(dated, F.col("day"), scenario_key, batch_id)
 
 
 def _of_batch(batch_id: int | None) -> Column:

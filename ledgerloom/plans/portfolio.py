@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.convert import to_date, to_decimal, to_int
 from ledgerloom.functions.risk import ifrs9_stage, utilization
 from ledgerloom.operators.histogram import class_counts, right_closed_class
-from ledgerloom.plans.drift import CAP, REFERENCE, psi_by_quarter, quantile_psi, utilization_snapshots
+from ledgerloom.plans.drift import CAP, psi_by_quarter, quantile_psi, utilization_spells
 from ledgerloom.plans.facts import account_state, union_all
 
 # Classes of the two distributions (right-closed) and stage captions.
@@ -35,17 +35,17 @@ def account_snapshot(accounts: DataFrame, transactions: DataFrame, as_of: date,
     on_day = F.when(F.col("transaction_date") == F.lit(as_of), F.col("dpd_snapshot"))
     today = (transactions.where(F.col("transaction_date") == F.lit(as_of)).groupBy("account_source_id")
              .agg(F.max(on_day).alias("dpd_today")))
-    state = account_state(transactions, [as_of]).select("account_source_id", "balance_0")
+    state = account_state(transactions, as_of).select("account_source_id", "balance")
     dpd = F.coalesce("dpd_today", F.lit(0))
-    balance = F.coalesce(F.when(F.col("balance_0") < 0, 0).otherwise(F.col("balance_0")), F.lit(0)).cast("decimal(18,2)")
+    floored = F.coalesce(F.when(F.col("balance") < 0, 0).otherwise(F.col("balance")), F.lit(0)).cast("decimal(18,2)")
     return (accounts.select("account_source_id", "product_code", "branch_code", "credit_limit")
             .join(state, "account_source_id", "left").join(today, "account_source_id", "left")
             .join(products.select("product_code", "product_family"), "product_code", "left")
             .join(branches.select("branch_code", "region"), "branch_code", "left")
             .select("account_source_id", "product_family", "region", "credit_limit",
-                    balance.alias("outstanding_balance"), dpd.alias("dpd_current"),
+                    floored.alias("outstanding_balance"), dpd.alias("dpd_current"),
                     ifrs9_stage(dpd).alias("ifrs9_stage"),
-                    utilization(balance, F.col("credit_limit"), CAP).alias("utilization_ratio")))
+                    utilization(floored, F.col("credit_limit"), CAP).alias("utilization_ratio")))
 
 
 def exposure_by(snapshot: DataFrame, column: str) -> DataFrame:
@@ -119,10 +119,9 @@ def reference_and_current_month(transactions: DataFrame) -> tuple[date, date]:
 
 def utilization_psi(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """PSI of utilisation, last date against the reference date; repeated edges are kept."""
-    ref_day, cur_day = reference_and_current_month(transactions)
-    both = {name: {"utilization_ratio": utilization_snapshots(transactions, accounts, [(name, day)])}
-            for name, day in ((REFERENCE, ref_day), ("current", cur_day))}
-    return quantile_psi(both["current"], both[REFERENCE], unique_edges=False, min_values=0)
+    reference, current = ({"utilization_ratio": utilization_spells(transactions, accounts, [day])}
+                          for day in reference_and_current_month(transactions))
+    return quantile_psi(current, ["current"], reference, unique_edges=False, min_values=0)
 
 
 def portfolio_kpis(snapshot: DataFrame, customers: DataFrame, psi: DataFrame, issues: DataFrame) -> DataFrame:
@@ -154,7 +153,7 @@ def portfolio_report(customers: DataFrame, accounts: DataFrame, transactions: Da
     snapshot = account_snapshot(accounts, transactions, as_of, products, branches)
     issues = dq_issues(staged_accounts, staged_bureau)
     series = psi_by_quarter(transactions, accounts, bureau, unique_edges=False, min_values=0,
-                            features=["utilization_ratio"])
+                            features=("utilization_ratio",))
     return {
         "kpis": portfolio_kpis(snapshot, customers, utilization_psi(transactions, accounts), issues),
         "stage_distribution": stage_distribution(snapshot),

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Plans here hold hundreds of expressions; recording a call site for each slows the driver.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,6 +7,8 @@ missing segments, unknown owners, repeated keys).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,20 +119,14 @@ def supplied_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def staged_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """One staging-shaped view as a DataFrame. Empty text is NULL, as after ingestion; only
+def staged_view(spark: SparkSession, view: str, table) -> DataFrame:
+    """One staging-shaped view over the tables that ``table(name)`` returns. Empty text is NULL, as after ingestion; only
     the transaction date is ever empty in these views."""
     text = VIEWS[view]
-    used = {t: supplied_table(spark, sf_dir, t) for t in TABLES if t in text}
-    for table in used:
-        text = _qualify(text, table)
+    used = {t: table(t) for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", text)}
+    for name in used:
+        text = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
     staged = spark.sql(text, **used)
     if view == "stg_transactions":
         staged = staged.withColumn("transaction_date", empty_to_null(F.col("transaction_date")))
     return staged
-
-
-def _qualify(text: str, table: str) -> str:
-    for word in ("FROM", "JOIN"):
-        text = text.replace(f"{word} {table} ", f"{word} {{{table}}} ").replace(f"{word} {table}\n", f"{word} {{{table}}}\n")
-    return text

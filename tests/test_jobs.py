@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.plans import drift, portfolio, quality
 from ledgerloom.plans.cleanse import classify, cleanse
 from ledgerloom.plans.customer_dim import initial_dimension, merge_scd2
-from ledgerloom.plans.facts import account_state, ecl_inputs, exposure_history
+from ledgerloom.plans.facts import account_state, ecl_inputs, exposure_history, fact_exposure
 from ledgerloom.plans.features import balance_features, bureau_features, missed_payments
 from ledgerloom.plans.groups import group_exposure, group_exposure_by_account, group_exposure_rollup
 from ledgerloom.schemas import dim_branch, dim_product, table_schema
@@ -88,14 +88,14 @@ def test_exposure_history(spark):
         ("a1", 20260131): (1, 70.0, 0, 1), ("a1", 20260228): (1, 50.0, 95, 3), ("a1", 20260331): (1, 55.0, 95, 3),
         ("a2", 20260131): (1, 0.0, 0, 1), ("a2", 20260228): (1, 7.0, 40, 2), ("a2", 20260331): (1, 7.0, 40, 2),
         ("a5", 20260131): (2, -30.0, 0, 1), ("a5", 20260228): (2, -30.0, 0, 1), ("a5", 20260331): (2, -30.0, 0, 1)}
-    single = exposure_history(accounts, moves, dim, dim_product(spark), dim_branch(spark), 1, days[1:2], 9).collect()
+    single = fact_exposure(accounts, moves, dim, dim_product(spark), dim_branch(spark), 1, days[1], 9).collect()
     assert sorted(map(tuple, single)) == sorted(tuple(r) for r in rows if r.date_key == 20260228)
 
 
 def test_account_state_reads_only_what_it_needs(spark, tmp_path, plan_text):
     _, moves, _ = _book(spark)
     moves.write.parquet(str(tmp_path / "moves"))
-    text = plan_text(account_state(spark.read.parquet(str(tmp_path / "moves")), [date(2026, 2, 1)]))
+    text = plan_text(account_state(spark.read.parquet(str(tmp_path / "moves")), date(2026, 2, 1)))
     assert "LessThanOrEqual(transaction_date,2026-02-01)" in text
     assert "transaction_id" not in text.split("ReadSchema")[1]
 

@@ -147,7 +147,8 @@ def test_psi_matches_the_array_formula(spark, unique):
         mine = df.where(F.col("feature") == feature)
         edges[feature] = quantile_edges(mine.where("period = 'reference'"), "value", 10, unique)
         parts.append(mine.select("feature", "period", edge_class(F.col("value"), edges[feature]).alias("bin")))
-    got = {(r.feature, r.period): r.psi for r in psi_by_period(parts[0].unionByName(parts[1]), edges, "reference", 10).collect()}
+    counts = parts[0].unionByName(parts[1]).groupBy("feature", "period", "bin").agg(F.count("*").alias("n"))
+    got = {(r.feature, r.period): r.psi for r in psi_by_period(counts, edges, "reference", 10).collect()}
     for feature, base in (("f", ref), ("z", ref_zeros)):
         for period, values in frames.items():
             assert got[feature, period] == pytest.approx(_numpy_psi(base, values, unique), abs=1e-12), (feature, period)
