@@ -35,8 +35,3 @@ def to_bit(text: Column) -> Column:
 
 def empty_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
-
-
-def compare_key(text: Column, ignore_case: bool = False) -> Column:
-    """Text used as a match key: binary by default, case-insensitive on request."""
-    return F.collate(F.rtrim(text), "UTF8_LCASE") if ignore_case else text

@@ -11,6 +11,7 @@ from ledgerloom.functions.risk import drift_status, quarter_label, utilization
 from ledgerloom.operators.histogram import equal_width_class
 from ledgerloom.operators.psi import DRIFT_THRESHOLD, edge_class, psi_by_period, quantile_edges, tile_psi
 from ledgerloom.plans.facts import account_spells, account_state, period_index, union_all, until_next
+from ledgerloom.session import materialize
 from ledgerloom.sources.calendar import date_to_key
 
 CAP = 2.0            # fixed value: highest utilisation the reports distinguish
@@ -176,3 +177,14 @@ def utilization_histogram(transactions: DataFrame, accounts: DataFrame, classes:
                  F.col(f"{REFERENCE}_{i}").alias("reference"), F.col(f"current_{i}").alias("current"))
         for i in range(classes)])
     return counted.select(F.inline(rows))
+
+
+def drift_report(transactions: DataFrame, accounts: DataFrame, bureau: DataFrame) -> dict[str, DataFrame]:
+    """Sections of the drift document. The PSI table is a few rows and is written once, since
+    two sections read it."""
+    psi = materialize(psi_by_quarter(transactions, accounts, bureau), "psi")
+    return {
+        "feature_status": feature_drift_status(psi),
+        "feature_series": psi.select("feature", "period", F.bround("psi", 4).alias("psi")),
+        "utilization_distribution": utilization_histogram(transactions, accounts),
+    }

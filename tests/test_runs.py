@@ -1,11 +1,14 @@
 import csv
-from datetime import datetime
+import json
+import math
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.contracts import ContractError
 from ledgerloom.plans.monthly_run import load_staging, run_full_etl, verify_run
+from ledgerloom.plans.published import build_ecl_inputs, cleanse_macro, detect_drift, group_totals, write_reports
 from ledgerloom.schemas import STAGING_COLUMNS
 from ledgerloom.sources.warehouse import Warehouse
 from ledgerloom.streaming.ingest import ingest_landing
@@ -92,6 +95,38 @@ def test_rerun_replaces_the_same_date_and_consumes_nothing(warehouse):
     assert counts["cleanse_customers"] == 0 and counts["load_fact_credit_event"] == 0
 
 
+def test_jobs_on_published_tables(warehouse):
+    wh, home = warehouse
+    build_ecl_inputs(wh, 20260831, T2)
+    inputs = {r.segment: (float(r.total_exposure), float(r.stage_3_exposure), r.avg_pd_12m) for r in wh.read("portfolio_ecl_inputs").collect()}
+    assert inputs == {"Corporate": (260.0, 260.0, None), "SME": (81.5, 0.0, None)}
+    july, august = (date(2026, 7, 1), date(2026, 7, 31)), (date(2026, 8, 1), date(2026, 8, 31))
+    detect_drift(wh, july, august, "2026-07", "2026-08", T2)
+    metrics = wh.read("drift_metrics").collect()
+    # Two customer keys in July; in August the closed version of C1 still has a row, so three.
+    assert len(metrics) == 1 and metrics[0].drift_flag == 0
+    assert metrics[0].population_stability_index == pytest.approx(2 * (1 / 3 - 1 / 2) * math.log(2 / 3))
+    assert metrics[0].reference_mean == pytest.approx((0.25 + 0.161) / 2)
+    totals = {r.root_group_id: float(r.total_group_exposure) for r in group_totals(wh).collect()}
+    assert totals == {"A1": 341.5}
+
+    write_csv(home / "macro", "stg_macro_indicators", [
+        ["2026-07-01", "TN", "1.25", "15", "n/a", "7.5", ""], ["2026-07-01", "TN", "1.30", "15", "6", "7.5", "UPSIDE"], ["July", "TN", "1", "1", "1", "1", ""]])
+    load_staging(wh, str(home / "macro"), T2)
+    cleanse_macro(wh, T2)
+    macro = {r.scenario_tag: (float(r.gdp_growth), r.inflation_rate) for r in wh.read("macro_indicators").collect()}
+    assert macro["BASELINE"] == (1.25, None) and set(macro) == {"BASELINE", "UPSIDE"}
+    assert wh.read("quarantine").where("source_table = 'stg_macro_indicators'").count() == 1
+
+    write_reports(wh, str(home / "reports"))
+    documents = {n: json.loads("\n".join(r.value for r in wh.spark.read.text(str(home / "reports" / n)).collect()))
+                 for n in ("portfolio", "quality", "drift")}
+    kpis = {r["kpi"]: r["value"] for r in documents["portfolio"]["kpis"]}
+    assert (kpis["n_accounts"], kpis["n_customers"], kpis["total_exposure"]) == (2, 2, 341.5)
+    assert [s["step"] for s in documents["quality"]["steps"]][0] == "cleanse_customers"
+    assert {r["key"] if "key" in r else r["feature"] for r in documents["drift"]["feature_status"]} >= {"utilization_ratio", "dpd_current"}
+
+
 def test_failed_run_publishes_nothing(spark, tmp_path):
     first_load(tmp_path / "in")
     write_csv(tmp_path / "in", "stg_customers", [["C1", "", "1980-01-01", "N1", "Retail", "TN", "2020-01-01"]])  # name missing
