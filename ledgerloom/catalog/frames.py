@@ -29,6 +29,7 @@ class Frames:
         # Dates are derived from timestamps; the check engine works in UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
+        self.sharing = False
         self._views: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
         self.run_1, self.run_2 = (F.lit(t).cast("timestamp") for t in (RUN_1, RUN_2))
@@ -51,7 +52,7 @@ class Frames:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return cleanse("customers", self.staged("stg_customers"), 1, self.run_1)
+        return self._shared(cleanse("customers", self.staged("stg_customers"), 1, self.run_1), "customers")
 
     @cached_property
     def customers_again(self) -> DataFrame:
@@ -59,7 +60,7 @@ class Frames:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return cleanse("accounts", self.staged("stg_accounts"), 1, self.run_1, self.customers)
+        return self._shared(cleanse("accounts", self.staged("stg_accounts"), 1, self.run_1, self.customers), "accounts")
 
     @cached_property
     def transactions(self) -> DataFrame:
@@ -69,16 +70,24 @@ class Frames:
     def bureau(self) -> DataFrame:
         return cleanse("credit_bureau", self.staged("stg_credit_bureau"), 1, self.run_1, self.customers)
 
-    # Written once for queries that read a cleansed table several times.
+    # --- tables a query reads several times are written once -----------------------------
+
+    def _shared(self, df: DataFrame, label: str) -> DataFrame:
+        return materialize(df, label) if self.sharing else df
+
+    def share(self) -> None:
+        """From here on customers and accounts are built once and read back by every user."""
+        self.sharing = True
 
     @cached_property
     def stored_accounts(self) -> DataFrame:
-        return materialize(self.accounts, "accounts")
+        self.share()
+        return self.accounts
 
     @cached_property
     def stored_transactions(self) -> DataFrame:
-        return materialize(
-            cleanse("transactions", self.staged("stg_transactions"), 1, self.run_1, self.stored_accounts), "transactions")
+        self.share()
+        return materialize(self.transactions, "transactions")
 
     @cached_property
     def stored_bureau(self) -> DataFrame:
@@ -112,6 +121,7 @@ class Frames:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
+        self.share()
         return initial_dimension(dimension_source(self.customers, self.bureau), self.run_1)
 
     @cached_property
@@ -129,9 +139,8 @@ class Frames:
                                 self.scenario_key, SNAPSHOTS, 1, CALENDAR_START)
 
     def _book(self, stored: bool) -> tuple[DataFrame, DataFrame]:
-        if stored:
-            return self.stored_accounts, self.stored_transactions
-        return self.accounts, self.transactions
+        self.share()
+        return self.accounts, self.stored_transactions if stored else self.transactions
 
     def events(self, stored: bool = False) -> DataFrame:
         accounts, transactions = self._book(stored)

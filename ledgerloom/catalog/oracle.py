@@ -46,7 +46,7 @@ _TX_ORDER = """load_ts DESC, row_id DESC, account_source_id DESC, transaction_da
     transaction_type DESC, dpd_snapshot DESC"""
 _SIGNED = "CASE transaction_type WHEN 'REPAYMENT' THEN -amount ELSE amount END"
 # The feature column holds two digits before and four after the point; what does not fit is empty.
-_RATIO = "CASE WHEN credit_limit > 0 AND abs(outstanding_balance) < 99.99995 * credit_limit THEN round(outstanding_balance::DOUBLE / credit_limit::DOUBLE, 4) END"
+_RATIO = "CASE WHEN credit_limit > 0 AND abs(outstanding_balance::DOUBLE) < 99.99995 * credit_limit::DOUBLE THEN round(outstanding_balance::DOUBLE / credit_limit::DOUBLE, 4) END"
 _STAGE = "CASE WHEN {0} > 90 THEN 3 WHEN {0} > 30 THEN 2 ELSE 1 END"
 
 

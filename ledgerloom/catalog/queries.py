@@ -145,6 +145,7 @@ def superseded_rows(f):
 @query
 def row_conservation(f):
     """Per table: staged rows are either quarantined, upserted or superseded."""
+    f.share()
     parts = []
     for table, spec in CLEANSERS.items():
         if table == "macro_indicators":
@@ -166,6 +167,7 @@ def row_conservation(f):
 @query
 def upsert_two_batches(f):
     """Transactions of the second load merged into those of the first."""
+    f.share()
     staged = f.staged("stg_transactions")
     loads = [cleanse_load(f, staged.where(F.col("batch_id") == b), b) for b in (1, 2)]
     return _clean(upsert(loads[0], loads[1], ["transaction_id"]))
@@ -191,8 +193,9 @@ def contract_violations_raw(f):
 @query
 def contract_violations_clean(f):
     """The same contracts on the cleansed tables: all counts are zero."""
-    tables = {"customers": f.customers, "accounts": f.accounts, "credit_bureau": f.bureau,
-              "transactions": f.transactions}
+    f.share()
+    tables = {"customers": f.customers, "accounts": f.accounts, "credit_bureau": f.stored_bureau,
+              "transactions": f.stored_transactions}
     return union_all([contract_violations(df, CONTRACTS[t], tables) for t, df in tables.items()])
 
 
@@ -269,7 +272,7 @@ def surrogate_keys(f):
 def flagship_stage_exposure(f):
     """Exposure and accounts per stage at the as-of date, from raw rows to the figure."""
     dpd = F.coalesce("dpd", F.lit(0))
-    book = (f.accounts.select("account_source_id", "product_code", "credit_limit")
+    book = (f.stored_accounts.select("account_source_id", "product_code", "credit_limit")
             .join(f.products.select("product_code"), "product_code").join(f.state(), "account_source_id", "left"))
     return (book.groupBy(ifrs9_stage(dpd).alias("ifrs9_stage"))
             .agg(F.count("*").alias("n_accounts"),
@@ -343,7 +346,7 @@ def moving_balance_windows(f):
 
 @query
 def group_hierarchy(f):
-    links = f.accounts.select("account_source_id", "customer_source_id", "parent_group_id")
+    links = f.stored_accounts.select("account_source_id", "customer_source_id", "parent_group_id")
     expanded = expand_hierarchy(links)
     return expanded.join(links.select("account_source_id", "customer_source_id"), "account_source_id")
 
