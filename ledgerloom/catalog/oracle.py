@@ -259,7 +259,8 @@ def _features(history: str) -> str:
         FROM (SELECT customer_key, {_RATIO} AS utilization_ratio,
                 dpd_current, max(dpd_current) OVER w6 AS dpd_max_last_6m, dpd_current - lag(dpd_current, 3) OVER w AS dpd_trend,
                 {mean('w3')} AS cents_3, {mean('w12')} AS cents_12,
-                round(stddev_samp(outstanding_balance::DOUBLE) OVER w6, 4) AS payment_volatility_6m,
+                CASE WHEN stddev_samp(outstanding_balance::DOUBLE) OVER w6 < 999999.99995
+                  THEN round(stddev_samp(outstanding_balance::DOUBLE) OVER w6, 4) END AS payment_volatility_6m,
                 row_number() OVER (PARTITION BY customer_key ORDER BY date_key DESC, tie DESC) AS rn
               FROM {history}
               WINDOW w AS (PARTITION BY customer_key ORDER BY date_key, tie),
