@@ -52,7 +52,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @functools.lru_cache(4)
 def _powers(size: int, base: int) -> np.ndarray:
-    return np.concatenate(([1], np.full(size - 1, base, dtype=_U))).astype(_U).cumprod(dtype=_U)
+    return np.concatenate((np.ones(1, dtype=_U), np.full(size - 1, base, dtype=_U))).cumprod(dtype=_U)
 
 
 def word_hashes(text: str) -> np.ndarray:

@@ -159,10 +159,10 @@ plan AS (
   SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * max(level) OVER ()) AS target FROM levels),
 placed AS (
   SELECT s.*, p.source_size, p.target, floor(p.target + 0.5)::BIGINT AS want,
-         (sum(size) OVER (PARTITION BY s.source ORDER BY md5(doc_id::VARCHAR) ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS at
+         (sum(size) OVER (PARTITION BY s.source ORDER BY md5(doc_id::VARCHAR) ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start_word
   FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE (want // source_size) * size
-            + greatest(0, least(at + size, want % source_size) - least(at, want % source_size)) END::BIGINT AS taken
+            + greatest(0, least(start_word + size, want % source_size) - least(start_word, want % source_size)) END::BIGINT AS taken
 FROM placed
 """
