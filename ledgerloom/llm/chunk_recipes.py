@@ -97,11 +97,11 @@ def dedup(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without exact copies, all columns kept; equal rows with one doc_id count as copies too."""
-    stay = dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    own = lambda doc_id, digest: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
+    stay = dedup(docs).where("kept").select(own(F.col("doc_id"), F.col("text_sha256")).alias("__own"))
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    marked = docs.withColumn("__digest", digest)
-    return (marked.join(stay, marked["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")), "left_semi")
-            .dropDuplicates(["doc_id", "__digest"]).drop("__digest"))
+    marked = docs.withColumn("__own", own(F.col("doc_id"), digest))
+    return marked.join(stay, "__own", "left_semi").dropDuplicates(["__own"]).drop("__own")
 
 
 ORACLE = """

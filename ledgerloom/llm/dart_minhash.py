@@ -238,7 +238,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each class."""
-    stay = near_classes(docs, similarity).where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    marked = docs.withColumn("__own", F.xxhash64("text"))
-    return (marked.join(stay, marked["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest")), "left_semi")
-            .dropDuplicates(["doc_id", "__own"]).drop("__own"))
+    own = lambda doc_id, digest: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), digest.cast("string"))
+    stay = near_classes(docs, similarity).where("kept").select(own(F.col("doc_id"), F.col("digest")).alias("__own"))
+    marked = docs.withColumn("__own", own(F.col("doc_id"), F.xxhash64("text")))
+    return marked.join(stay, "__own", "left_semi").dropDuplicates(["__own"]).drop("__own")

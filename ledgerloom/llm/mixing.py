@@ -133,13 +133,14 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     A reading that the target ends within keeps its first words (joined by blanks), one document per source at most.
     """
     columns = docs.columns
-    inner = docs.select("doc_id", "text", "source", F.struct(*columns).alias("__all"))
-    sized, _, mixed = mix(inner, block)
+    sized = materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"),
+                                    F.struct("*").alias("__all")), "sized")
+    _, mixed = _mix_sized(sized.drop("__all"), block, WEIGHTS, MOST_REPEATS)
     readings = mixed.groupBy("row", "pass").agg(F.max("word_to").alias("words"))
-    words = F.split(F.regexp_replace(F.col("text"), f"^{SPACE}+", ""), f"{SPACE}+")
+    words = F.split(F.regexp_replace(F.col("__all.text"), f"^{SPACE}+", ""), f"{SPACE}+")
     part = F.concat_ws(" ", F.slice(words, 1, F.col("words").cast("int")))
     whole = F.col("words") >= F.col("size")
-    values = {c: F.col("__all")[c] for c in columns} | {"text": F.when(whole, F.col("text")).otherwise(part)}
+    values = {c: F.col("__all")[c] for c in columns} | {"text": F.when(whole, F.col("__all.text")).otherwise(part)}
     if "n_chars" in columns:
         values["n_chars"] = F.when(whole, F.col("__all")["n_chars"]).otherwise(F.length(part).cast("long"))
     return sized.join(readings, "row").select(*(v.alias(c) for c, v in values.items()))
