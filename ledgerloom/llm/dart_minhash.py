@@ -202,7 +202,8 @@ def verified_edges(docs: DataFrame, listed: DataFrame, similarity: float = SIMIL
             .select("fp", "root", F.col("rep.doc_id").alias("__id"), F.col("rep.digest").alias("__digest")))
     reps = materialize(reps, "near-members")
     sizes = reps.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    texts = _with_digest(docs).join(reps, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
+    # The members grow with the corpus, so they are merged with it at every size and never broadcast.
+    texts = _with_digest(docs).join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
