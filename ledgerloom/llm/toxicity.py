@@ -122,7 +122,9 @@ def _spelled(words: list[str], flags: np.ndarray, lexicon: frozenset[str]) -> in
     single = np.concatenate(([0], (flags & SINGLE > 0).astype(np.int8), [0]))
     edges = np.flatnonzero(np.diff(single))
     runs = [(a, b) for a, b in zip(edges[::2], edges[1::2]) if b - a >= 4]
-    return sum(any(u in lexicon for u in units(undisguised("".join(words[a:b])))) for a, b in runs)
+    # A neighbouring one-letter word may stand before or behind the spelled one.
+    spans = [[(a, b), (a + 1, b), (a, b - 1)] for a, b in runs]
+    return sum(any(u in lexicon for a, b in span for u in units(undisguised("".join(words[a:b])))) for span in spans)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
@@ -147,7 +149,8 @@ def learn_lexicon(sample: DataFrame) -> frozenset[str]:
                         for unit in units(word):
                             seen.setdefault(unit, [0, 0])[label] |= before
                         before = 1 << (hash_of(word) % 63)
-            yield pd.DataFrame({"unit": list(seen), "clean": [x[0] for x in seen.values()], "toxic": [x[1] for x in seen.values()]})
+            masks = np.array(list(seen.values()), dtype=np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"unit": pd.Series(list(seen), dtype=object), "clean": masks[:, 0], "toxic": masks[:, 1]})
 
     masks = (sample.select("text", "label").mapInPandas(company, "unit string, clean long, toxic long")
              .groupBy("unit").agg(F.expr("bit_or(clean)").alias("clean"), F.expr("bit_or(toxic)").alias("toxic")))
