@@ -115,11 +115,11 @@ class Centroids:
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Centroids:
     """Learn from the rows of ``docs`` (doc_id, text, lang) for which ``learn`` holds."""
     ids = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    # The first by hash of each of 256 shares of a language, then of the language: a frequent one is no single task's.
+    # The first by hash of each of 256 shares of a language, then of the language, whose last choice sees seven rows a share.
     hashed = ids.withColumns({"hash": F.xxhash64("doc_id"), "share": F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(256))})
-    for keys in (["lang", "share"], ["lang"]):
+    for keys, most in ((["lang", "share"], per_language // 64 + 1), (["lang"], per_language)):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("hash", "doc_id"))
-        hashed = hashed.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+        hashed = hashed.withColumn("place", place).where(F.col("place") <= most).drop("place")
     chosen = hashed.select("doc_id", "lang").distinct()
     # Broadcast: per_language rows for each language.
     sample = materialize(docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]), "language-sample")
