@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ledgerloom.llm import (bin_completion, centroid_language, chunk_recipes, co
                             pairwise_quality, token_rollup, toxicity, url_rules)
 from ledgerloom.llm.bpe import TOKENIZER_FILE, byte_bpe, vocabulary_path
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.queries import REGISTRY
+from ledgerloom.llm.queries import ORACLE, REGISTRY
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, row string, score string, fp string"
@@ -42,6 +43,16 @@ def table(spark, name):
     return spark.read.parquet(f"{SF}/{name}.parquet")
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_check_sql(spark, name):
+    con = duckdb.connect()
+    for view in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SF}/{view}.parquet')")
+    result = con.execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    assert rows(REGISTRY[name](spark, SF), *columns) == sorted(result.fetchall(), key=str)
+
+
 # --- components ------------------------------------------------------------------------------
 
 def test_components_match_a_union_find(spark):
