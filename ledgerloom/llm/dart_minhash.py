@@ -10,10 +10,13 @@ is 0.8 or more, and classes are connected components of links.
 2. Bands of rows of the signature are joined: equal bands hang every text on the smallest of its bucket, and components of
    these unverified edges are the *candidate clusters*. At similarity 0.8, 32 bands of 6 miss 1 pair in 17,000. Texts with
    equal shingle sets are one node throughout, so copies are never paired with one another.
-3. Texts of clusters of two or more move once. A cluster is cut into blocks of a few hundred texts; each pair of blocks is a task
-   of its own size. In it, pairs whose signatures agree on enough coordinates (four standard deviations below 0.8) are verified on
-   the whole shingle sets, unless they are connected already. No pair of a cluster is skipped otherwise, and only edges
-   of a spanning forest leave the task.
+3. Texts of clusters of two or more move once, as shingle sets. A cluster is cut into blocks of a few hundred texts, and a few pivots
+   of the cluster stand in each of them. In a block, pairs whose signatures agree on enough coordinates (four standard deviations
+   below 0.8) are verified on the whole shingle sets, unless they are connected already; only edges of a spanning forest
+   leave the task. A large group of near copies is one class after this pass, whose work grows with the group.
+4. Where a cluster of several blocks still has several classes, pairs of different classes are left. Each of them has a text outside the
+   cluster's largest class, so blocks of those texts meet one another and the largest class, and that class never meets itself.
+   With this, no pair of a cluster is skipped unless it is connected already.
 
 Rows: null and empty texts have no shingles and link with nothing; texts of one to four words have one shingle, all their words;
 repeated rows and copies share a class; ``kept`` marks the row with the smallest doc_id (nulls last) of its class, one of equal
@@ -28,14 +31,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
 from ledgerloom.session import materialize
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
-BLOCK = 400
+BLOCK, PIVOTS = 400, 16
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -159,7 +162,7 @@ def candidate_edges(listed: DataFrame) -> DataFrame:
 
 
 def _verify(similarity: float):
-    """A block pair's links as edges of a spanning forest (a, b)."""
+    """The links between a task's texts of side 0 and side 1 (among those of side 0 if that is all) as edges of a spanning forest."""
     size = BANDS * ROWS
     least = size * similarity - 4.0 * np.sqrt(size * similarity * (1.0 - similarity))
 
@@ -174,7 +177,8 @@ def _verify(similarity: float):
             agree += sigs[left, k][:, None] == sigs[right, k][None, :]
         i, j = np.nonzero(agree >= least)
         order = np.argsort(-agree[i, j], kind="stable")
-        parent = list(range(len(fps)))
+        first: dict[bytes, int] = {}
+        parent = [first.setdefault(c, k) for k, c in enumerate(table["class"].to_pylist())]
 
         def top(x: int) -> int:
             while parent[x] != x:
@@ -191,43 +195,89 @@ def _verify(similarity: float):
                     if common >= similarity * (smaller + larger - common):
                         parent[max(p, q)] = min(p, q)
                         out.append((fps[x], fps[y]))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+        return pa.table({"root": pa.array([table["root"][0].as_py()] * len(out), pa.int64()),
+                         "a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
     return links
 
 
-def verified_edges(docs: DataFrame, listed: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+def _members(listed: DataFrame, block: int) -> DataFrame:
+    """(fp, root, __id, __digest, blocks, own, pivot): the distinct shingle sets of clusters, with a row to read each from and its block."""
     clusters = connected_components(candidate_edges(listed), "near-candidates")
     reps = (listed.where("node IS NOT NULL").groupBy("node", "fp").agg(F.min(F.struct("doc_id", "digest")).alias("rep")).join(clusters, "node")
             .select("fp", "root", F.col("rep.doc_id").alias("__id"), F.col("rep.digest").alias("__digest")))
-    reps = materialize(reps, "near-members")
+    reps = materialize(reps, "near-clustered")
     sizes = reps.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    place = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("fp"), "fp"))
+    pivots = (reps.select("root", "fp").withColumn("place", place).where(F.col("place") <= PIVOTS)
+              .select("fp", F.lit(True).alias("pivot")))
+    return materialize(reps.join(sizes, "root").join(pivots, "fp", "left").select(
+        "fp", "root", "__id", "__digest", "blocks", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("own"),
+        (F.coalesce("pivot", F.lit(False)) & (F.col("blocks") > 1)).alias("pivot")), "near-members")
+
+
+def _sketches(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(fp, root, blocks, own, pivot, sig, shingles) of every member; its text is read and moved once."""
     # The members grow with the corpus, so they are merged with it at every size and never broadcast.
-    texts = _with_digest(docs).join(reps.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
+    texts = _with_digest(docs).join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, fp, root in zip(*(batch.column(k) for k in range(3))):
-                found, fp = shingles(text.as_py()), fp.as_py()
-                if xxhash.xxh3_128_digest(found.tobytes()) == fp:  # else another text with this digest
-                    rows.append((fp, root.as_py(), signature(found, np.ones(len(found)), BANDS * ROWS).tobytes(), found.tobytes()))
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.binary(), pa.binary()))],
-                                             names=["fp", "root", "sig", "shingles"])
-
-    members = texts.select("text", "fp", "root").mapInArrow(sketch, "fp binary, root long, sig binary, shingles binary")
-    placed = members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "fp", "sig", "shingles")
-    return pairs.groupBy("root", "i", "j").applyInArrow(_verify(similarity), "a binary, b binary")
-
-
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+            stay, sigs, sets = [], [], []
+            for text, fp in zip(batch.column("text"), batch.column("fp")):
+                found = shingles(text.as_py())
+                same = xxhash.xxh3_128_digest(found.tobytes()) == fp.as_py()  # else another text with this digest
+                stay.append(same)
+                if same:
+                    sigs.append(signature(found, np.ones(len(found)), BANDS * ROWS).tobytes()), sets.append(found.tobytes())
+            named = batch.select(["fp", "root", "blocks", "own", "pivot"]).filter(pa.array(stay, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*named.columns, pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())],
+                                             names=[*named.schema.names, "sig", "shingles"])
+
+    found = texts.select("text", "fp", "root", "blocks", "own", "pivot").mapInArrow(
+        sketch, "fp binary, root long, blocks int, own int, pivot boolean, sig binary, shingles binary")
+    return materialize(found, "near-sketches")
+
+
+def verified_edges(docs: DataFrame, listed: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) between shingle sets whose components are the classes."""
+    members = _members(listed, block)
+    sketches = _sketches(docs, members)
+    links, schema = _verify(similarity), "root long, a binary, b binary"
+    everywhere = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
+    inside = sketches.select("root", F.explode(everywhere).alias("i"), F.lit(0).alias("side"), "fp", F.col("fp").alias("class"), "sig", "shingles")
+    inside = materialize(inside.groupBy("root", "i").applyInArrow(links, schema), "near-links")
+    wide = members.where("blocks > 1").select("fp", "root")
+    if wide.isEmpty():
+        return inside.select("a", "b")
+
+    # What is left: texts outside the largest class of their cluster, against one another and that class.
+    so_far = connected_components(inside.join(wide.select("root").distinct(), "root", "left_semi"), "near-blocks")
+    standing = materialize(wide.join(so_far.select(F.col("node").alias("fp"), F.col("root").alias("class")), "fp", "left")
+                           .withColumn("class", F.coalesce("class", "fp")), "near-standing")
+    counts = standing.groupBy("root", "class").agg(F.count("*").alias("n"))
+    open_ = (counts.groupBy("root").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("most"),
+                                        F.sum("n").alias("all"), F.count("*").alias("classes")).where("classes > 1")
+             .select("root", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("rest_blocks"),
+                     F.ceil(F.col("most") / block).cast("int").alias("main_blocks")))
+    main = F.col("class") == F.col("main")
+    spread = F.xxhash64("fp", F.lit(1))
+    dealt = standing.join(open_, "root").select(
+        "fp", "class", "rest_blocks",
+        F.when(main, F.col("rest_blocks") + F.pmod(spread, F.col("main_blocks"))).otherwise(F.pmod(spread, F.col("rest_blocks"))).cast("int").alias("at"),
+        F.when(main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")).alias("meets"))
+    pairs = (sketches.where("blocks > 1").select("root", "fp", "sig", "shingles").join(dealt, "fp")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
+             .select("root", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"),
+                     F.when(F.col("at") <= F.col("other"), 0).otherwise(1).alias("side"), "fp", "class", "sig", "shingles"))
+    between = pairs.groupBy("root", "i", "j").applyInArrow(links, schema)
+    return inside.select("a", "b").union(between.select("a", "b"))
+
+
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """(doc_id, class_id, class_size, kept, digest) of every row of ``docs`` (doc_id, text)."""
     listed = materialize(described(docs).withColumn("row", F.monotonically_increasing_id()), "near-signatures")
-    classes = connected_components(verified_edges(docs, listed, similarity), "near-classes")
+    classes = connected_components(verified_edges(docs, listed, similarity, block), "near-classes")
     own = F.concat(F.lit("row "), F.col("row").cast("string")).cast("binary")
     named = (listed.select("doc_id", "digest", "row", "fp").join(classes.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("class", F.coalesce("root", "fp", own)))

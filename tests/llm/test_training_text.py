@@ -166,6 +166,25 @@ def test_blocks_of_a_cluster_lose_nothing(spark):
     assert connected_components(dart_minhash.verified_edges(frame, listed, block=7), "t").agg(F.countDistinct("root")).first()[0] == 1
 
 
+def test_classes_of_a_wide_cluster_match_brute_force(spark):
+    """Copies of one text at all distances, sharing half of their words with another family: several classes, many blocks."""
+    rng = random.Random(11)
+    shared = [f"c{k}" for k in range(70)]
+    families = [shared + [f"{f}{k}" for k in range(60)] for f in "xyz"]
+    texts = []
+    for k in range(160):
+        words = list(families[0 if k % 4 else 1 + k % 3 % 2])
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 8])):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = brute_classes(list(enumerate(texts)))
+    assert len(set(expected.values())) > 5
+    for block in (9, 400):
+        found = dart_minhash.near_classes(frame, block=block).collect()
+        assert {r["doc_id"]: r["class_id"] for r in found} == expected
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     elements = rng.integers(0, 2 ** 63, 60, dtype=np.uint64)
