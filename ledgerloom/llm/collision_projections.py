@@ -1,5 +1,8 @@
 """Embedding near-duplicates by counting collisions of one-dimensional projections (operator 4).
 
+Equal vectors are one vector with a number of copies throughout (told by a 128-bit digest of their components), so a large group of
+copies costs one row, and its members' links to each other are counted without being looked for.
+
 1. Every unit vector is projected on many random directions. Of each sorted projection only the upper tail can hold query
    windows: two vectors collide on a direction when both lie in its tail, and a query's window reaches ``WINDOW`` to both sides.
    A tail is a small share of all rows, but vectors at cosine 0.9 meet in about two thirds of the tails of either one.
@@ -9,7 +12,7 @@
 3. Rows of one tail come together, sorted by projection. A tail of more than ``BLOCK`` rows is cut into blocks and each pair
    of blocks is a task, so a frequent vector is spread. Inside a task collisions are counted for all pairs of a query window (bit
    counts over the tails that both are in); pairs with enough of them are verified by cosine in double precision. A
-   pair is taken in the first tail both share only, so links are counted once and never emitted: a task returns, per
+   pair is taken in the first tail both share only, so links are counted once, copies included, and never emitted: a task returns, per
    vector, its number of links and the smallest vector that it is connected with.
 
 Rows: vectors that are null, empty, zero or hold null or non-finite components, or whose length is not the common one, link
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,31 +83,43 @@ def _vectors(column: pa.Array, size: int) -> np.ndarray:
     return out
 
 
-def tails(rows: DataFrame, size: int, count: int, bound: float) -> DataFrame:
-    """(row, vec_id, unit vector as bytes, tails that it is in, values there) of every valid vector."""
+def _digests(rows: DataFrame) -> DataFrame:
+    """(row, vec_id, embedding, digest) of every row; no digest where the vector or a component is null."""
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = (x.values if x.is_valid else None for x in batch.column("embedding"))
+            digests = [None if v is None or v.null_count else xxhash.xxh3_128_digest(v.to_numpy(zero_copy_only=False).tobytes()) for v in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "digest"])
+
+    return rows.mapInArrow(digest, "row long, vec_id long, embedding array<double>, digest binary")
+
+
+def tails(distinct: DataFrame, size: int, count: int, bound: float) -> DataFrame:
+    """(row, digest, copies, unit vector as bytes, tails that it is in, values there) of every valid vector."""
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         axes = directions_of(count, size).T
         for batch in batches:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
-                unit = _vectors(part.column(2), size)
+                unit = _vectors(part.column("embedding"), size)
                 kept = np.flatnonzero(np.isfinite(unit[:, 0]))
                 values = unit[kept] @ axes
                 at, tail = np.nonzero(values > bound)
                 edges = np.searchsorted(at, np.arange(len(kept) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(pa.array(kept)), part.column(1).take(pa.array(kept)), pa.array([x.tobytes() for x in unit[kept]], pa.binary()),
+                    *(part.column(c).take(pa.array(kept)) for c in ("row", "digest", "copies")), pa.array([x.tobytes() for x in unit[kept]], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(edges), pa.array(tail.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(values[at, tail]))], names=["row", "vec_id", "unit", "tails", "at"])
+                    pa.ListArray.from_arrays(pa.array(edges), pa.array(values[at, tail]))], names=["row", "digest", "copies", "unit", "tails", "at"])
 
-    return rows.select("row", "vec_id", "embedding").mapInArrow(project, "row long, vec_id long, unit binary, tails array<int>, at array<double>")
+    return distinct.select("row", "digest", "copies", "embedding").mapInArrow(
+        project, "row long, digest binary, copies long, unit binary, tails array<int>, at array<double>")
 
 
 def _count_links(cosine: float, collisions: int, window: float):
     def links(table: pa.Table) -> pa.Table:
         table = table.sort_by([("value", "ascending"), ("row", "ascending")])
         tail = table["tail"][0].as_py()
-        row, side, value = (table[c].to_numpy() for c in ("row", "side", "value"))
+        row, side, value, copies = (table[c].to_numpy() for c in ("row", "side", "value", "copies"))
         unit = np.stack([np.frombuffer(x, dtype=np.float64) for x in table["unit"].to_pylist()])
         lists = table["tails"].combine_chunks()
         owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
@@ -131,7 +147,7 @@ def _count_links(cosine: float, collisions: int, window: float):
             linked = np.einsum("ij,ij->i", unit[i], unit[j]) >= cosine
             found_i.append(i[linked]), found_j.append(j[linked])
         i, j = np.concatenate(found_i), np.concatenate(found_j)
-        np.add.at(count, i, 1), np.add.at(count, j, 1)
+        np.add.at(count, i, copies[j]), np.add.at(count, j, copies[i])
         while True:  # labels fall to the smallest row of each local component
             label = low.copy()
             np.minimum.at(label, i, low[j]), np.minimum.at(label, j, low[i])
@@ -147,24 +163,29 @@ def _count_links(cosine: float, collisions: int, window: float):
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, collisions: int = COLLISIONS, block: int = BLOCK, **calibration) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding)."""
-    rows = materialize(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-                       .withColumn("row", F.monotonically_increasing_id()), "vectors")
-    lengths = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").limit(1).collect()
-    size, total = lengths[0] if lengths else (1, 0)
+    rows = materialize(_digests(vectors.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"),
+                                               F.col("embedding").cast("array<double>").alias("embedding"))), "vectors")
+    firsts = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
+    distinct = materialize(rows.select("row", "embedding").join(firsts, "row"), "distinct-vectors")
+    lengths = (distinct.where("size(embedding) > 0").groupBy(F.size("embedding").alias("size")).agg(F.sum("copies").alias("rows"), F.count("*").alias("n"))
+               .orderBy(F.desc("rows"), "size").limit(1).collect())
+    size, total = (lengths[0]["size"], lengths[0]["n"]) if lengths else (1, 0)
     count, bound = calibrate(max(total, 1), cosine, **calibration)
-    projected = materialize(tails(rows, size, count, bound), "tails")
+    projected = materialize(tails(distinct, size, count, bound), "tails")
     # One row per direction, a few thousand at most.
     blocks = projected.select(F.explode("tails").alias("tail")).groupBy("tail").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     found = projected.withColumn("__", F.explode(F.arrays_zip("tails", "at"))).select(
-        "row", "unit", "tails", F.col("__.tails").alias("tail"), F.col("__.at").alias("value")).join(F.broadcast(materialize(blocks, "tail-blocks")), "tail")
+        "row", "copies", "unit", "tails", F.col("__.tails").alias("tail"), F.col("__.at").alias("value")).join(F.broadcast(materialize(blocks, "tail-blocks")), "tail")
     own = found.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "tail", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "row", "unit", "tails", "value")
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "row", "copies", "unit", "tails", "value")
     local = materialize(pairs.groupBy("tail", "i", "j").applyInArrow(_count_links(cosine, collisions, WINDOW), "row long, links long, low long"), "links")
     components = connected_components(local.select(F.col("row").alias("a"), F.col("low").alias("b")), "vector-components")
     links = local.groupBy("row").agg(F.sum("links").alias("n_links"))
-    named = (rows.select("row", "vec_id").join(links, "row", "left").join(components.withColumnRenamed("node", "row"), "row", "left")
-             .select("row", "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "row").alias("root")))
+    known = (projected.select("row", "digest", "copies").join(links, "row", "left").join(components.withColumnRenamed("node", "row"), "row", "left")
+             .select("digest", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "row").alias("root")))
+    named = rows.select("row", "vec_id", "digest").join(known, "digest", "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "row").alias("root"))
     least = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     return named.join(least, "root").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))

@@ -274,6 +274,20 @@ def test_vector_links_match_brute_force(spark):
     assert collision_projections.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vector_copies_count_as_links(spark):
+    """Copies link with one another and with whatever one of them links with; zero vectors and ids that repeat too."""
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((5, 24))
+    near = base[0] + 0.05 * rng.standard_normal(24)
+    data = [*[base[0]] * 90, near, near, *[base[1]] * 3, base[2], 2.0 * base[2], base[3], np.zeros(24), np.zeros(24)]
+    ids = [500 - i for i in range(len(data) - 2)] + [7, 7]
+    frame = spark.createDataFrame([(i, v.tolist(), "x", 1) for i, v in zip(ids, data)], "vec_id long, embedding array<double>, digest string, copies int")
+    found = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in collision_projections.near_vectors(frame, block=25).collect())
+    groups = [(ids[:92], 91), (ids[92:95], 2), (ids[95:97], 1), (ids[97:98], 0)]
+    wanted = [(i, n, min(g), i == min(g)) for g, n in groups for i in g] + [(7, 0, 7, True)] * 2
+    assert found == sorted(wanted)
+
+
 # --- 5: urls ---------------------------------------------------------------------------------
 
 def test_url_rules(spark):
