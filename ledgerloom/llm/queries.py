@@ -48,7 +48,7 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"), f"{work_dir(spark)}/tables/token-rollup-{uuid.uuid4().hex}")
+    return token_rollup.whole_totals(table(spark, sf_dir, "documents"), f"{work_dir(spark)}/tables/token-rollup-{uuid.uuid4().hex}")
 
 
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:

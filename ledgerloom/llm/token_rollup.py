@@ -40,10 +40,13 @@ class Rollup:
         sums = signed(changes).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         sums.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
+    def deltas(self) -> DataFrame:
+        """The published rows, each with its batch."""
+        return self.spark.read.schema(f"{self.SCHEMA}, batch string").option("basePath", self.path).parquet(self.path)
+
     def totals(self) -> DataFrame:
         """Documents and tokens by key; keys whose documents are all gone drop out."""
-        deltas = self.spark.read.schema(f"{self.SCHEMA}, batch string").option("basePath", self.path).parquet(self.path)
-        return (deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        return (self.deltas().groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
                 .where("docs <> 0 OR tokens <> 0"))
 
 
@@ -57,8 +60,8 @@ def token_counts(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, rank_fil
     return docs.withColumn("tokens", count("text"))
 
 
-def corpus_totals(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k", estimate: str = "four_chars") -> DataFrame:
-    """Totals of ``docs`` (doc_id, text, source, lang) after three batches of changes.
+def _committed(docs: DataFrame, path: str, tokenizer: str, estimate: str) -> Rollup:
+    """Three batches of changes of ``docs`` (doc_id, text, source, lang).
 
     ``load`` inserts every document under both counters with an estimate of a token per four characters; ``count`` revises the
     tokenizer's counts to the real ones, and is committed twice; ``copies`` deletes every document whose text another
@@ -80,4 +83,20 @@ def corpus_totals(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k", e
     gone = both.join(stay, "sha").where(F.col("row") != F.col("keep.row"))
     rollup.commit("copies", gone.select(F.lit("delete").alias("change"), *KEYS, none.alias("tokens"),
                                         F.when(F.col("tokenizer") == tokenizer, F.col("tokens")).otherwise(F.col("estimate")).alias("tokens_before")))
-    return rollup.totals()
+    return rollup
+
+
+def whole_totals(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k", estimate: str = "four_chars") -> DataFrame:
+    """Totals by key: docs and tokens of every row of ``docs``, unique_docs and unique_tokens without the ``copies`` batch's rows.
+
+    A key that holds copies alone stays, with 0 unique ones. Rows under ``estimate`` are not counted by a tokenizer.
+    """
+    kept = F.col("batch") != "copies"
+    return _committed(docs, path, tokenizer, estimate).deltas().groupBy(*KEYS).agg(
+        *(F.sum(F.when(kept, F.col(c)).otherwise(0)).alias(c) for c in ("docs", "tokens")),
+        *(F.sum(c).alias(f"unique_{c}") for c in ("docs", "tokens")))
+
+
+def corpus_totals(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k", estimate: str = "four_chars") -> DataFrame:
+    """Totals after all batches: of rows with equal texts only the one with the largest doc_id counts."""
+    return _committed(docs, path, tokenizer, estimate).totals()

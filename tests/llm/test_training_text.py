@@ -356,6 +356,25 @@ def test_corpus_totals_match_a_plain_count(spark, odd_docs, tmp_path):
         assert {(r["source"] or "", r["lang"] or ""): r["tokens"] for r in found if r["tokens"]} == dict(+want)
 
 
+def test_whole_totals_cover_every_row(spark, odd_docs, tmp_path):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(vocabulary_path(TOKENIZER_FILE))
+    docs = table(spark, "documents")
+    for data, found in ((docs, REGISTRY["op8_token_totals"](spark, SF)), (odd_docs, token_rollup.whole_totals(odd_docs, str(tmp_path / "w")))):
+        want, estimate = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+        for r in data.collect():
+            text = r["text"] or ""
+            for sums, n in ((want, len(plain.encode(text, add_special_tokens=False).ids)), (estimate, (len(text) + 3) // 4)):
+                sums[r["source"], r["lang"]][0] += 1
+                sums[r["source"], r["lang"]][1] += n
+        got = found.collect()
+        for tokenizer, sums in (("byte_bpe_50k", want), ("four_chars", estimate)):
+            mine = [r for r in got if r["tokenizer"] == tokenizer]
+            assert {(r["source"], r["lang"]): [r["docs"], r["tokens"]] for r in mine} == sums
+            assert sum(r["unique_docs"] for r in mine) == len({r["text"] or "" for r in data.select("text").collect()})
+            assert all(0 <= r["unique_docs"] <= r["docs"] and 0 <= r["unique_tokens"] <= r["tokens"] for r in mine)
+
+
 # --- 9: packing ------------------------------------------------------------------------------
 
 def test_packing_round_trip(spark, odd_docs):
