@@ -10,7 +10,7 @@
    exactly the blocks that its target asks for.
 
 Rows: a null or empty text has no words and is never taken; a null source is a source, sorted last; repeated rows are separate
-documents; extra columns are ignored by ``mix`` and kept by ``mixed_documents``; an empty table gives no rows.
+documents; extra columns are ignored by ``mix`` and kept by ``mixed_documents`` and ``whole_documents``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -101,7 +101,8 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS,
     return (sized, *_mix_sized(sized, block, weights, most))
 
 
-def _mix_sized(sized: DataFrame, block: int, weights: tuple[int, ...], most: int) -> tuple[DataFrame, DataFrame]:
+def _readings(sized: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFrame, list, DataFrame]:
+    """The numbered targets, also as a list, and every reading of a row: words [first, last) of its source's ``want``."""
     spark = sized.sparkSession
     plan = materialize(targets(sized, weights, most).select("*", F.floor(F.col("target") + 0.5).cast("long").alias("want")), "targets")
     listed = plan.orderBy(F.col("source").asc_nulls_last()).collect()  # one row per source
@@ -110,10 +111,15 @@ def _mix_sized(sized: DataFrame, block: int, weights: tuple[int, ...], most: int
     first = F.col("source_size") * F.col("pass") + F.col("at")
     readings = (placed.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most))))
                 .withColumn("first", first).where("first < want").withColumn("last", F.least(F.col("first") + F.col("size"), F.col("want"))))
+    return numbered, listed, readings
+
+
+def _mix_sized(sized: DataFrame, block: int, weights: tuple[int, ...], most: int) -> tuple[DataFrame, DataFrame]:
+    numbered, listed, readings = _readings(sized, weights, most)
     cut = readings.withColumn("block", F.explode(F.expr(f"sequence(first div {block}, (last - 1) div {block})")))
     start, end = F.greatest("first", F.col("block") * block), F.least("last", (F.col("block") + 1) * block)
     spans = cut.select("k", "block", "pass", "row", "doc_id", (start - F.col("first")).alias("word_from"), (end - F.col("first")).alias("word_to"))
-    mixed = spans.join(_slots(spark, [r["want"] for r in listed], block), ["k", "block"])
+    mixed = spans.join(_slots(sized.sparkSession, [r["want"] for r in listed], block), ["k", "block"])
     return numbered, mixed.select("slot", "k", "block", "pass", "row", "doc_id", "word_from", "word_to")
 
 
@@ -146,6 +152,20 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return sized.join(readings, "row").select(*(v.alias(c) for c, v in values.items()))
 
 
+def whole_documents(docs: DataFrame) -> DataFrame:
+    """The mix as whole documents with the columns of ``docs``: one row per document and reading, every text as it is.
+
+    A reading that the target ends within is taken if that comes nearer to the target than leaving it out, and always
+    if it is the source's only one. Sources stray from their targets by half a document, or by the rest of their only one.
+    """
+    columns = docs.columns
+    sized = materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"),
+                                    F.struct("*").alias("__all")), "sized")
+    _, _, readings = _readings(sized.drop("__all"), WEIGHTS, MOST_REPEATS)
+    nearer = 2 * (F.col("last") - F.col("first")) >= F.col("size")
+    return sized.join(readings.where(nearer | (F.col("first") == 0)).select("row"), "row").select(*(F.col("__all")[c].alias(c) for c in columns))
+
+
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),

@@ -120,6 +120,31 @@ def test_mixed_documents_keep_words_and_columns(spark, odd_docs):
     assert mixing.taken(empty(spark)).count() == 0 and mixing.mixed_documents(empty(spark)).count() == 0
 
 
+def test_source_mix_keeps_documents_whole(spark, odd_docs):
+    long_text = "\n".join(f"w{k}" for k in range(3000))  # the only one of its source, cut by the target
+    lone = spark.createDataFrame([(0, "a b\nc", "s0"), (1, "d e", "s0"), (2, long_text, "s1"), (3, "f\ng", "s2")], "doc_id long, text string, source string")
+    stage, cut = dict(corpus_pipeline.STAGES)["source_mix"], 0
+    for docs in (table(spark, "documents"), odd_docs, lone):
+        found = stage(spark, docs, SF)
+        texts = {(r["doc_id"], r["text"]) for r in docs.collect()}
+        sizes = {(r["doc_id"], r["size"]) for r in mixing.taken(docs).collect()}
+        times = Counter((r["doc_id"], r["text"]) for r in found.collect())
+        assert found.columns == docs.columns and set(times) <= texts
+        size = dict(sizes)
+        names = {r["doc_id"]: r["source"] for r in docs.collect()}
+        words, want, largest = Counter(), {}, Counter()
+        for (doc_id, _), n in times.items():
+            words[names[doc_id]] += n * size[doc_id]
+        for r in mixing.taken(docs).collect():
+            source = names[r["doc_id"]]
+            want[source], largest[source] = r["target"], max(largest[source], r["size"])
+            cut += r["size"] > 0 and r["taken"] % r["size"] > 0
+        for source, target in want.items():
+            assert words[source] > 0 or target < 0.5
+            assert abs(words[source] - target) <= largest[source] / 2 + 1 or words[source] == largest[source]
+    assert cut and stage(spark, empty(spark), SF).count() == 0
+
+
 # --- 2: near copies --------------------------------------------------------------------------
 
 def brute_classes(docs):
