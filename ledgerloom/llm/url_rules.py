@@ -3,7 +3,7 @@
 A rule is a regular expression over ``host + path`` with literal tokens that every match contains. Tokens are letters and
 digits between separators. Counting how often the rules' tokens occur in all urls picks each rule's rarest one; a url's tokens then
 fetch the rules filed under them, and only those rules are tried. Work grows with urls times their tokens, not with
-the number of rules.
+the number of rules. Rules without a literal token stand in a second list, and every one of them is tried on every url.
 
 Rows: a null url, or one without ``://``, has an empty host and path and gets the default verdict; empty hosts match no
 rule; repeated urls are judged once and joined back; extra columns are ignored; an empty table gives no rows. Rules are ordered:
@@ -55,7 +55,7 @@ def parse(url: Column) -> dict[str, Column]:
 
 
 def indexed(rules: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The rules, each under the one of its literals that is rarest among ``tokens`` (token), ties by name."""
+    """The rules with literals, each under the one of them that is rarest among ``tokens`` (token), ties by name."""
     literals = rules.select("name", F.explode("literals").alias("token"))
     wanted = literals.select("token").distinct()
     counts = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
@@ -72,7 +72,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     parsed = pages.select("page_id", *(c.alias(n) for n, c in parse(F.col("url")).items()))
     places = parsed.where("host <> ''").select("host", "path").distinct()
     tokens = places.select("host", "path", F.explode(F.array_distinct(F.split(F.concat("host", F.lit("/"), "path"), _SEPARATORS))).alias("token"))
-    tried = tokens.join(indexed(rules, tokens.select("token")), "token").where(F.expr("regexp_like(concat(host, path), pattern)"))
+    rules = rules.withColumn("literals", F.filter("literals", lambda t: t != ""))  # what a split leaves beside non-ASCII letters is no token
+    fetched = tokens.join(indexed(rules, tokens.select("token")), "token").drop("token")
+    # Broadcast: as many rules as a user lists without any literal token; none of the registered ones.
+    everywhere = rules.where(F.coalesce(F.size("literals"), F.lit(0)) <= 0).select("name", "pattern", "verdict", "listed", "width")
+    tried = fetched.unionByName(places.crossJoin(F.broadcast(everywhere))).where(F.expr("regexp_like(concat(host, path), pattern)"))
     best = tried.groupBy("host", "path").agg(F.max_by(F.struct("name", "verdict", "listed"), F.struct("listed", "width", "name")).alias("best"))
     return parsed.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.when(F.col("best.listed") == 1, F.col("best.name")).alias("rule"),

@@ -329,6 +329,17 @@ def test_url_rules(spark):
     assert url_rules.judge(pages.limit(0), url_rules.rule_table(spark)).count() == 0
 
 
+def test_rules_without_a_token_are_tried_everywhere(spark):
+    rules = url_rules.rule_table(spark, listed=[("\u4f8b\u3048", "/", "block"), ("example.net", "/en/", "allow")], words=["casino", "\u8ced", "b\u8ced"])
+    none = spark.createDataFrame([("digits", r"^[^/]*[0-9]{3}", None, "block", 0, 6), ("slashes", "//", [], "block", 0, 7)], rules.schema)
+    urls = {1: "http://\u4f8b\u3048/x", 2: "http://www.\u4f8b\u3048/", 3: "http://a123.org/", 4: "http://example.net/en/", 5: "http://b.org//x",
+            6: "http://b.org/123", 7: None, 8: "http://casino.org/", 9: "http://a.\u8ced.org/x", 10: "http://b\u8ced.org/x"}
+    pages = spark.createDataFrame(list(urls.items()), "page_id long, url string")
+    found = {r["page_id"]: (r["verdict"], r["reason"]) for r in url_rules.judge(pages, rules.union(none)).collect()}
+    assert found == {1: ("block", "\u4f8b\u3048/"), 2: ("block", "\u4f8b\u3048/"), 3: ("block", "digits"), 4: ("allow", "example.net/en/"),
+                     5: ("block", "slashes"), 6: ("allow", None), 7: ("allow", None), 8: ("block", "casino"), 9: ("block", "\u8ced"), 10: ("block", "b\u8ced")}
+
+
 # --- 6: exact copies -------------------------------------------------------------------------
 
 @pytest.mark.parametrize("digest_bytes", [16, 1])
