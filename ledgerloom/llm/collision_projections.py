@@ -15,8 +15,9 @@ copies costs one row, and its members' links to each other are counted without b
    pair is taken in the first tail both share only, so links are counted once, copies included, and never emitted: a task returns, per
    vector, its number of links and the smallest vector that it is connected with.
 
-Rows: vectors that are null, empty, zero or hold null or non-finite components, or whose length is not the common one, link
-with nothing; rows that repeat a vec_id are vectors of their own (a component's id is its smallest vec_id); extra columns are
+Vectors of one length are compared with one another: directions, bounds and tails are those of the length.
+
+Rows: vectors that are null, empty, zero or hold null or non-finite components link with nothing; rows that repeat a vec_id are vectors of their own (a component's id is its smallest vec_id); extra columns are
 ignored; an empty table gives no rows.
 """
 
@@ -94,25 +95,36 @@ def _digests(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(digest, "row long, vec_id long, embedding array<double>, digest binary")
 
 
-def tails(distinct: DataFrame, size: int, count: int, bound: float) -> DataFrame:
-    """(row, digest, copies, unit vector as bytes, tails that it is in, values there) of every valid vector."""
+def tails(distinct: DataFrame, plan: dict[int, tuple[int, float]]) -> DataFrame:
+    """(row, digest, copies, size, unit vector as bytes, tails that it is in, values there) of every valid vector.
+
+    ``plan`` has the directions and the bound of each vector length.
+    """
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes = directions_of(count, size).T
+        axes: dict[int, np.ndarray] = {}
         for batch in batches:
-            for lo in range(0, len(batch), 512):
-                part = batch.slice(lo, 512)
-                unit = _vectors(part.column("embedding"), size)
-                kept = np.flatnonzero(np.isfinite(unit[:, 0]))
-                values = unit[kept] @ axes
-                at, tail = np.nonzero(values > bound)
-                edges = np.searchsorted(at, np.arange(len(kept) + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    *(part.column(c).take(pa.array(kept)) for c in ("row", "digest", "copies")), pa.array([x.tobytes() for x in unit[kept]], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(tail.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(values[at, tail]))], names=["row", "digest", "copies", "unit", "tails", "at"])
+            lengths = np.array([len(x) for x in batch.column("embedding")], dtype=np.int64)
+            for size in (int(x) for x in np.unique(lengths) if int(x) in plan):
+                count, bound = plan[size]
+                if size not in axes:
+                    if len(axes) >= 8:
+                        axes.clear()
+                    axes[size] = directions_of(count, size).T
+                mine = batch.take(pa.array(np.flatnonzero(lengths == size)))
+                for lo in range(0, len(mine), 512):
+                    part = mine.slice(lo, 512)
+                    unit = _vectors(part.column("embedding"), size)
+                    kept = np.flatnonzero(np.isfinite(unit[:, 0]))
+                    values = unit[kept] @ axes[size]
+                    at, tail = np.nonzero(values > bound)
+                    edges = np.searchsorted(at, np.arange(len(kept) + 1)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([
+                        *(part.column(c).take(pa.array(kept)) for c in ("row", "digest", "copies")), pa.array(np.full(len(kept), size, dtype=np.int32)),
+                        pa.array([x.tobytes() for x in unit[kept]], pa.binary()), pa.ListArray.from_arrays(pa.array(edges), pa.array(tail.astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array(edges), pa.array(values[at, tail]))], names=["row", "digest", "copies", "size", "unit", "tails", "at"])
 
     return distinct.select("row", "digest", "copies", "embedding").mapInArrow(
-        project, "row long, digest binary, copies long, unit binary, tails array<int>, at array<double>")
+        project, "row long, digest binary, copies long, size int, unit binary, tails array<int>, at array<double>")
 
 
 def _count_links(cosine: float, collisions: int, window: float):
@@ -167,20 +179,19 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, collisions: int = C
                                                F.col("embedding").cast("array<double>").alias("embedding"))), "vectors")
     firsts = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
     distinct = materialize(rows.select("row", "embedding").join(firsts, "row"), "distinct-vectors")
-    lengths = (distinct.where("size(embedding) > 0").groupBy(F.size("embedding").alias("size")).agg(F.sum("copies").alias("rows"), F.count("*").alias("n"))
-               .orderBy(F.desc("rows"), "size").limit(1).collect())
-    size, total = (lengths[0]["size"], lengths[0]["n"]) if lengths else (1, 0)
-    count, bound = calibrate(max(total, 1), cosine, **calibration)
-    projected = materialize(tails(distinct, size, count, bound), "tails")
-    # One row per direction, a few thousand at most.
-    blocks = projected.select(F.explode("tails").alias("tail")).groupBy("tail").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    # One row per length of vectors. A length's only vector has nothing to be compared with and needs no directions.
+    lengths = distinct.where("size(embedding) > 0").groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("n")).collect()
+    plan = {r["size"]: calibrate(r["n"], cosine, **calibration) if r["n"] > 1 else (0, 0.0) for r in lengths}
+    projected = materialize(tails(distinct, plan), "tails")
+    # One row per direction, a few thousand at most for each length.
+    blocks = projected.select("size", F.explode("tails").alias("tail")).groupBy("size", "tail").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     found = projected.withColumn("__", F.explode(F.arrays_zip("tails", "at"))).select(
-        "row", "copies", "unit", "tails", F.col("__.tails").alias("tail"), F.col("__.at").alias("value")).join(F.broadcast(materialize(blocks, "tail-blocks")), "tail")
+        "row", "copies", "size", "unit", "tails", F.col("__.tails").alias("tail"), F.col("__.at").alias("value")).join(F.broadcast(materialize(blocks, "tail-blocks")), ["size", "tail"])
     own = found.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "tail", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "size", "tail", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "row", "copies", "unit", "tails", "value")
-    local = materialize(pairs.groupBy("tail", "i", "j").applyInArrow(_count_links(cosine, collisions, WINDOW), "row long, links long, low long"), "links")
+    local = materialize(pairs.groupBy("size", "tail", "i", "j").applyInArrow(_count_links(cosine, collisions, WINDOW), "row long, links long, low long"), "links")
     components = connected_components(local.select(F.col("row").alias("a"), F.col("low").alias("b")), "vector-components")
     links = local.groupBy("row").agg(F.sum("links").alias("n_links"))
     known = (projected.select("row", "digest", "copies").join(links, "row", "left").join(components.withColumnRenamed("node", "row"), "row", "left")

@@ -313,6 +313,24 @@ def test_vector_copies_count_as_links(spark):
     assert found == sorted(wanted)
 
 
+def test_vectors_of_every_length_are_compared(spark):
+    rng = np.random.default_rng(13)
+    data, groups = [], []
+    for size, families in ((24, 30), (16, 12), (5, 1)):
+        for _ in range(families):
+            centre = rng.standard_normal(size)
+            groups.append(range(len(data), len(data) + 4))
+            data += [centre, centre, 3.0 * centre, centre + 0.01 * rng.standard_normal(size)]
+    data += [np.ones(7), np.ones(7), np.ones(3)]
+    groups += [range(len(data) - 3, len(data) - 1), range(len(data) - 1, len(data))]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    unit = [v / np.linalg.norm(v) for v in data]
+    exact = [sum(len(u) == len(v) and float(u @ v) >= 0.9 for v in unit) - 1 for u in unit]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in collision_projections.near_vectors(frame, block=25).collect()}
+    assert [found[i][0] for i in range(len(data))] == exact and max(exact[120:168]) >= 3
+    assert all(found[i][1] <= g[0] and len({found[k][1] for k in g}) == 1 for g in groups for i in g)
+
+
 # --- 5: urls ---------------------------------------------------------------------------------
 
 def test_url_rules(spark):
