@@ -93,6 +93,30 @@ def fillings(room: int, sizes: np.ndarray, counts: np.ndarray, most: int = 6, ef
     return [chosen for _, chosen in sorted(set(found), key=lambda x: (x[0], len(x[1]), x[1]))[:most]]
 
 
+def every_filling(room: int, sizes: np.ndarray, counts: np.ndarray, effort: int = 400) -> Iterator[tuple[int, ...] | None]:
+    """All undominated fillings of ``room``, one by one; None after every ``effort`` steps of the search."""
+    spent = 0
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, len(sizes), ())]
+    while stack:
+        rest, upto, chosen = stack.pop()
+        spent += 1
+        if spent % effort == 0:
+            yield None
+        last = int(np.searchsorted(sizes[:upto], rest, side="right")) - 1
+        used = Counter(chosen)
+        while last >= 0 and counts[sizes[last]] <= used[int(sizes[last])]:
+            last -= 1
+        if last >= 0:
+            piece = int(sizes[last])
+            if last:
+                stack.append((rest, last, chosen))
+            stack.append((rest - piece, last + 1, chosen + (piece,)))
+            continue
+        fits = int(np.searchsorted(sizes, rest, side="right"))
+        if not any(counts[s] > used[int(s)] for s in sizes[:fits]) and all(not _larger(sizes, counts, used, piece, rest) for piece in used):
+            yield chosen
+
+
 def _larger(sizes: np.ndarray, counts: np.ndarray, used: Counter, piece: int, rest: int) -> bool:
     lo, hi = np.searchsorted(sizes, [piece, piece + rest], side="right")
     return any(counts[s] > used[int(s)] for s in sizes[lo:hi])
@@ -119,7 +143,9 @@ def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, nodes: in
     """Fillings for every piece of the histogram, in few bins; exact unless the node budget ends the search.
 
     Depth first: a node takes the largest piece left, tries its fillings in order of waste and applies one as often as
-    stock allows. A branch ends when its waste so far cannot beat the incumbent any more.
+    stock allows. A branch ends when its waste so far cannot beat the incumbent any more. A first search tries at most six
+    fillings of a node, at full multiples; if it runs out of options, a second one tries all undominated fillings at all multiples
+    with the nodes left (400 steps of looking for a filling count as a node).
     """
     histogram = {int(k): int(n) for k, n in histogram.items() if n > 0}
     best = best_fit_decreasing(histogram, capacity)
@@ -138,22 +164,45 @@ def complete_bins(histogram: dict[int, int], capacity: int = CAPACITY, nodes: in
         counts = counts.copy()
         counts[largest] -= 1
         inside = np.flatnonzero(counts[: capacity - largest + 1])
-        options = fillings(capacity - largest, inside, counts)
+        if whole:
+            options = all_options(largest, every_filling(capacity - largest, inside, counts.copy()), counts.copy())
+        else:
+            options = iter([((largest, *option), None) for option in fillings(capacity - largest, inside, counts) or [()]])
         counts[largest] += 1
-        frames.append((counts, len(plan), waste, iter([(largest, *option) for option in options or [()]])))
+        frames.append((counts, len(plan), waste, options))
 
+    def all_options(largest: int, found: Iterator, counts: np.ndarray) -> Iterator:
+        counts[largest] += 1
+        for option in found:
+            if option is None:
+                yield None, None
+                continue
+            most = min(int(counts[length]) // n for length, n in Counter((largest, *option)).items())
+            yield from (((largest, *option), times) for times in range(most, 0, -1))
+
+    whole = False
     if total:
         open_frame(stock, 0)
-    while frames and nodes and bins_of(best) > goal:
+    while nodes and bins_of(best) > goal:
+        if not frames:
+            if whole or not total:
+                break
+            whole = True
+            plan.clear()
+            open_frame(stock, 0)
         counts, depth, waste, options = frames[-1]
         del plan[depth:]
-        filling = next(options, None)
-        if filling is None:
+        option = next(options, None)
+        if option is None:
             frames.pop()
             continue
         nodes -= 1
+        filling, times = option
+        if filling is None:
+            continue
         need = Counter(filling)
-        times = min(int(counts[length]) // n for length, n in need.items())
+        if times is None:
+            times = min(int(counts[length]) // n for length, n in need.items())
         waste = waste + times * (capacity - sum(filling))
         if waste + total > (bins_of(best) - 1) * capacity:
             continue  # even without further waste no fewer bins than the incumbent

@@ -479,6 +479,29 @@ def test_bins_are_as_few_as_possible_on_small_cases():
         assert bin_completion.bins_of(plan) == fewest(items, 100)
 
 
+def test_bins_mix_fillings_and_multiples():
+    """All fillings of a room are found, and cases of few lengths that the first search leaves open are solved."""
+    def brute(room, stock):
+        fits = [x for x in sorted(stock, reverse=True) if x <= room and stock[x]]
+        out = {()} if not fits else set()
+        for x in fits:
+            out |= {tuple(sorted((x, *rest), reverse=True)) for rest in brute(room - x, stock - Counter([x]))}
+        return out
+    stock = Counter({3: 9, 4: 9, 5: 2, 7: 3})
+    counts = np.zeros(41, dtype=np.int64)
+    for x, n in stock.items():
+        counts[x] = n
+    found = [f for f in bin_completion.every_filling(30, np.flatnonzero(counts), counts) if f is not None]
+    tight = {f for f in brute(30, stock) if sum(f) == 30}
+    assert len(found) == len(set(found)) and tight <= set(found) <= brute(30, stock) and any(len(f) > 5 for f in found)
+    assert len(tight) > len(bin_completion.fillings(30, np.flatnonzero(counts), counts))
+    cases = [({32: 3, 28: 3, 13: 4, 18: 1, 9: 5}, 50, 6), ({16: 1, 9: 6, 42: 6, 52: 5, 15: 3, 31: 5}, 100, 8),
+             ({18: 6, 5: 4, 14: 4, 24: 2, 27: 2, 30: 5}, 50, 9), ({12: 5, 10: 6, 16: 4, 4: 5}, 30, 7)]
+    for items, capacity, fewest in cases:
+        plan = bin_completion.complete_bins(Counter(items), capacity)
+        assert Counter(x for content, n in plan for x in content * n) == Counter(items) and bin_completion.bins_of(plan) == fewest
+
+
 def test_encoder_equals_the_tokenizer(spark):
     from tokenizers import Tokenizer
     plain, fast = Tokenizer.from_file(vocabulary_path(TOKENIZER_FILE)), byte_bpe()
