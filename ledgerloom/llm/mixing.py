@@ -133,6 +133,14 @@ def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return named.join(words, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def schedule(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(slot, source, block, pass, doc_id, word_from, word_to): the words that each place of the training order takes."""
+    sized = materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"),
+                                    F.monotonically_increasing_id().alias("row")), "sizes")
+    plan, mixed = _mix_sized(sized, block, WEIGHTS, MOST_REPEATS)
+    return mixed.join(F.broadcast(plan.select("k", "source")), "k").select("slot", "source", "block", "pass", "doc_id", "word_from", "word_to")
+
+
 def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The mix as documents with the columns of ``docs``: one row per document and reading.
 

@@ -23,6 +23,10 @@ def mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def mix_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_classes(table(spark, sf_dir, "documents")).drop("digest")
 
@@ -66,6 +70,7 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "op1_mix_to_weights": mix_to_weights,
+    "op1_mix_schedule": mix_schedule,
     "op2_near_duplicates": near_duplicates,
     "op3_quality": quality,
     "op4_near_embeddings": near_embeddings,

@@ -107,6 +107,21 @@ def test_schedule_is_even_at_every_length(spark):
     assert np.abs(taken - 0.5 * np.arange(1, 8001)).max() < 12  # independent draws stray by about 45
 
 
+def test_registered_schedule_is_even_and_whole(spark):
+    found = REGISTRY["op1_mix_schedule"](spark, SF).collect()
+    words, places = Counter(), {}
+    for r in found:
+        words[r["doc_id"]] += r["word_to"] - r["word_from"]
+        assert places.setdefault(r["slot"], (r["source"], r["block"])) == (r["source"], r["block"])
+    assert +words == +Counter({r["doc_id"]: r["taken"] for r in REGISTRY["op1_mix_to_weights"](spark, SF).collect()})
+    order = [places[slot][0] for slot in sorted(places)]
+    assert len(set(places.values())) == len(places)
+    for source, n in Counter(order).items():
+        gone = np.cumsum([x == source for x in order])
+        assert np.abs(gone - n / len(order) * np.arange(1, len(order) + 1)).max() < 6
+        assert [places[s][1] for s in sorted(places) if places[s][0] == source] == list(range(n))
+
+
 def test_mixed_documents_keep_words_and_columns(spark, odd_docs):
     found = mixing.mixed_documents(odd_docs)
     assert found.columns == odd_docs.columns
