@@ -8,7 +8,7 @@ Fitting reads a bounded sample: at most ``PER_LANGUAGE`` documents of each langu
 goes to the driver is per language or per hash place. Scoring is one pass over the texts without a shuffle.
 
 Rows: null text and text without letters is ``und`` with score 0; rows with a null language are not learned from; repeated rows
-count and are scored as they are; extra columns are ignored; an empty table, or one without labelled rows, gives ``und``.
+are scored as they are, and one row of a doc_id and language is learned from; extra columns are ignored; an empty table, or one without labelled rows, gives ``und``.
 """
 
 from __future__ import annotations
@@ -112,8 +112,8 @@ class Centroids:
         return names, scores
 
 
-def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Centroids:
-    """Learn from the rows of ``docs`` (doc_id, text, lang) for which ``learn`` holds."""
+def language_sample(docs: DataFrame, learn: Column, per_language: int) -> DataFrame:
+    """(doc_id, lang, text) of at most ``per_language`` rows of each language, one of a doc_id (written, so read many times)."""
     ids = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
     # The first by hash of each of 256 shares of a language, then of the language, whose last choice sees seven rows a share.
     hashed = ids.withColumns({"hash": F.xxhash64("doc_id"), "share": F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(256))})
@@ -122,7 +122,15 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centro
         hashed = hashed.withColumn("place", place).where(F.col("place") <= most).drop("place")
     chosen = hashed.select("doc_id", "lang").distinct()
     # Broadcast: per_language rows for each language.
-    sample = materialize(docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]), "language-sample")
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    # Of rows that repeat a doc_id the one with the smallest hash of its text.
+    first = rows.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return materialize(first.select("doc_id", "lang", F.col("first.text").alias("text")), "language-sample")
+
+
+def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Centroids:
+    """Learn from the rows of ``docs`` (doc_id, text, lang) for which ``learn`` holds."""
+    sample = language_sample(docs, learn, per_language)
 
     def places(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in rows:

@@ -11,7 +11,7 @@ Fitting reads a bounded sample: at most ``PER_CLASS`` labelled documents of each
 over the texts without a shuffle.
 
 Rows: null and empty texts have all features 0; labels that are null are not learned from, contradicting labels of one doc_id
-count as toxic; repeated rows are scored alike; extra columns are kept; an empty table gives no rows; without labels of both
+count as toxic; repeated rows are scored alike and one row of a doc_id is learned from; extra columns are kept; an empty table gives no rows; without labels of both
 classes every score is 0.
 """
 
@@ -133,7 +133,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
              .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
     some = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
     # Broadcast: 2 * per_class rows.
-    return materialize(docs.select("doc_id", "text").join(F.broadcast(some[0].union(some[1])), "doc_id"), f"{label}-sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some[0].union(some[1])), "doc_id")
+    # Of rows that repeat a doc_id the one with the smallest hash of its text.
+    first = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return materialize(first.select("doc_id", F.col("first.text").alias("text"), "label"), f"{label}-sample")
 
 
 def learn_lexicon(sample: DataFrame) -> frozenset[str]:

@@ -296,6 +296,18 @@ def test_language_held_out_and_odd_rows(spark, odd_docs):
     assert centroid_language.predict(odd_docs, model, 2.0).where("lang_pred <> 'und'").count() == 0  # everything is too far
 
 
+def test_samples_hold_one_row_of_a_doc_id(spark):
+    docs = spark.createDataFrame([(1 + k % 3 * (k % 10 == 0), f"word{k % 50} text", "en") for k in range(600)] + [(1, None, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 9)], "doc_id long, quality int, toxic int")
+    ids = {r[0] for r in docs.select("doc_id").collect()}
+    learned = {d for d in ids if zlib.crc32(str(d).encode()) % 5}
+    for label in ("quality", "toxic"):
+        found = toxicity.labelled_sample(docs, labels, label, 4000).collect()
+        assert len(found) == len(learned) and {(r["doc_id"], r["label"]) for r in found} == {(d, d % 2) for d in learned}
+    found = centroid_language.language_sample(docs, F.lit(True), 400).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted({r["doc_id"] for r in found}) and all(r["text"] for r in found) and found
+
+
 # --- 4: embeddings ---------------------------------------------------------------------------
 
 def test_vector_links_match_brute_force(spark):
