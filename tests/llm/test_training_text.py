@@ -551,3 +551,39 @@ def test_pipeline_stages_follow_their_operators(spark):
     assert {r["doc_id"] for r in near.collect()} == set(brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()]).values())
     packed = corpus_pipeline.run(spark, SF)
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0 and packed.count() > 0
+
+
+def test_pipeline_run_matches_a_brute_force_chain(spark):
+    from tokenizers import Tokenizer
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, labels).collect()}
+    rest = {r["doc_id"]: (r["text"], r["source"]) for r in docs.collect() if score[r["doc_id"]] < toxicity.THRESHOLD}
+    last = {text: doc_id for doc_id, (text, _) in sorted(rest.items())}
+    unique = [(doc_id, text) for text, doc_id in last.items()]
+    kept = {d: rest[d] for d in set(brute_classes(unique).values())}
+    size = {d: len(re.findall(r"[^\x20\x09-\x0D]+", text)) for d, (text, _) in kept.items()}
+    total = Counter()
+    for d, (_, source) in kept.items():
+        total[source] += size[d]
+    left, want = {s: 1 + k % 3 for k, s in enumerate(sorted(total))}, {}
+    while left:  # plain rounds of capping
+        level = (sum(total.values()) - sum(want.values())) / sum(left.values())
+        over = [s for s, w in left.items() if w * level > 3 * total[s]]
+        for s in over or list(left):
+            want[s] = 3.0 * total[s] if over else left[s] * level
+            del left[s]
+    times, at = Counter(), Counter()
+    for d in sorted(kept, key=lambda d: hashlib.md5(str(d).encode()).hexdigest()):
+        source = kept[d][1]
+        for reading in range(4):
+            first, goal = reading * total[source] + at[source], int(want[source] + 0.5)
+            times[d] += size[d] > 0 and first < goal and (first == 0 or 2 * (goal - first) >= size[d])
+        at[source] += size[d]
+    plain, pieces = Tokenizer.from_file(vocabulary_path(TOKENIZER_FILE)), Counter()
+    for d, n in times.items():
+        ids = plain.encode(kept[d][0], add_special_tokens=False).ids + [2]
+        for k, end in enumerate(range(len(ids), 0, -1024)[::-1]):
+            start = max(end - 1024, 0)
+            pieces[d, k, start, end - start, zlib.crc32(np.array(ids[start:end], dtype="<u4").tobytes())] += n
+    found = Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "piece", "start", "length", "ids_crc32").collect())
+    assert found == +pieces and len({d for d, *_ in found}) > 20
