@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (bin_completion, centroid_language, chunk_recipes, collision_projections, dart_minhash, mixing,
-                            pairwise_quality, token_rollup, toxicity, url_rules)
+from ledgerloom.llm import (bin_completion, centroid_language, chunk_recipes, collision_projections, dart_minhash, disclosure,
+                            equal_average, mixing, pairwise_quality, token_rollup, toxicity, url_rules, whitening)
 from ledgerloom.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,18 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return equal_average.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_mix_to_weights": mix_to_weights,
     "op1_mix_schedule": mix_schedule,
@@ -80,9 +92,13 @@ REGISTRY: dict[str, Query] = {
     "op8_token_totals": token_totals,
     "op9_packed_sequences": packed_sequences,
     "op10_language": language,
+    "op11_whitened_embeddings": whitened_embeddings,
+    "op12_vector_codes": vector_codes,
+    "op13_personal_data": personal_data,
 }
 ORACLE: dict[str, str] = {
     "op1_mix_to_weights": mixing.ORACLE,
     "op5_url_verdicts": url_rules.ORACLE,
     "op6_exact_duplicates": chunk_recipes.ORACLE,
+    "op12_vector_codes": equal_average.ORACLE,
 }

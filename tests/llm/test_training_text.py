@@ -46,7 +46,7 @@ def table(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_check_sql(spark, name):
     con = duckdb.connect()
-    for view in ("documents", "pages"):
+    for view in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SF}/{view}.parquet')")
     result = con.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
