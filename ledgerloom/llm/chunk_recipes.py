@@ -100,8 +100,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     own = lambda doc_id, digest: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
     stay = dedup(docs).where("kept").select(own(F.col("doc_id"), F.col("text_sha256")).alias("__own"))
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    marked = docs.withColumn("__own", own(F.col("doc_id"), digest))
-    return marked.join(stay, "__own", "left_semi").dropDuplicates(["__own"]).drop("__own")
+    marked = docs.select(F.struct("*").alias("__row"), own(F.col("doc_id"), digest).alias("__own"))
+    return marked.join(stay, "__own", "left_semi").dropDuplicates(["__own"]).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
 
 
 ORACLE = """

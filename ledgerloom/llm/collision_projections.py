@@ -17,8 +17,8 @@ copies costs one row, and its members' links to each other are counted without b
 
 Vectors of one length are compared with one another: directions, bounds and tails are those of the length.
 
-Rows: vectors that are null, empty, zero or hold null or non-finite components link with nothing; rows that repeat a vec_id are vectors of their own (a component's id is its smallest vec_id); extra columns are
-ignored; an empty table gives no rows.
+Rows: vectors that are null, empty, zero or hold null or non-finite components link with nothing; rows that repeat a vec_id are vectors of their own (a component's id is its smallest vec_id);
+a component without any vec_id has none and is kept; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -78,9 +78,10 @@ def _vectors(column: pa.Array, size: int) -> np.ndarray:
         found = value.values if value.is_valid else None
         if found is not None and len(found) == size and found.null_count == 0:
             out[row] = found.to_numpy(zero_copy_only=False)
-    with np.errstate(all="ignore"):
-        out /= np.linalg.norm(out, axis=1, keepdims=True)
-    out[~np.isfinite(out).all(axis=1)] = np.nan
+    out[~(np.isfinite(out).all(axis=1) & out.any(axis=1))] = np.nan
+    # By the largest component first: squares of very small or very large ones would leave the range of doubles.
+    out /= np.abs(out).max(axis=1, keepdims=True, initial=0.0)
+    out /= np.linalg.norm(out, axis=1, keepdims=True)
     return out
 
 
@@ -199,4 +200,22 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, collisions: int = C
     named = rows.select("row", "vec_id", "digest").join(known, "digest", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "row").alias("root"))
     least = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    return named.join(least, "root").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    return named.join(least, "root").select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+ORACLE = f"""
+WITH RECURSIVE numbered AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda c: c::DOUBLE) AS e FROM embeddings),
+valid AS (
+  SELECT row, len(e) AS size, e, sqrt(list_dot_product(e, e)) AS norm FROM numbered
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.row AS a, b.row AS b FROM valid a JOIN valid b ON a.size = b.size AND a.row <> b.row
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {COSINE}),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+counted AS (SELECT a AS row, count(*) AS n_links FROM links GROUP BY a),
+least AS (SELECT r.a AS row, min(n.vec_id) AS low FROM reach r JOIN numbered n ON n.row = r.b GROUP BY r.a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM numbered LEFT JOIN counted USING (row) LEFT JOIN least USING (row)
+"""

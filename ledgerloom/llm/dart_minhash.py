@@ -288,8 +288,13 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, block: int = B
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each class."""
+    """The rows of ``docs``, all columns, with one document of each class.
+
+    Rows without words are classes of their own and all stay; of equal rows with words (doc_id and text) one stays.
+    """
     own = lambda doc_id, digest: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), digest.cast("string"))
     stay = near_classes(docs, similarity).where("kept").select(own(F.col("doc_id"), F.col("digest")).alias("__own"))
-    marked = docs.withColumn("__own", own(F.col("doc_id"), F.xxhash64("text")))
-    return marked.join(stay, "__own", "left_semi").dropDuplicates(["__own"]).drop("__own")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = docs.select(F.struct("*").alias("__row"), own(F.col("doc_id"), F.xxhash64("text")).alias("__own"), worded.alias("__worded"))
+    chosen = marked.where("__worded").join(stay, "__own", "left_semi").dropDuplicates(["__own"])
+    return chosen.unionByName(marked.where("NOT __worded")).select(*(F.col("__row")[c].alias(c) for c in docs.columns))

@@ -92,13 +92,18 @@ def _slots(spark, wanted: list[int], block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sized rows (row, size and all columns of ``docs``), the targets, and the mix.
+    """The sized rows (row, size, doc_id, source and, in the struct ``doc``, all columns of ``docs``), the targets, and the mix.
 
     A row of the mix is a run of words of one document in one block: (slot, source number k, block, pass, row, doc_id,
     word_from, word_to). Ordered by slot and place, it is the training order.
     """
-    sized = materialize(docs.withColumns({"size": words_in(F.col("text")), "row": F.monotonically_increasing_id()}), "sized")
-    return (sized, *_mix_sized(sized, block, weights, most))
+    sized = _sized_documents(docs, "doc")
+    return (sized, *_mix_sized(sized.drop("doc"), block, weights, most))
+
+
+def _sized_documents(docs: DataFrame, name: str) -> DataFrame:
+    return materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"),
+                                   F.struct("*").alias(name)), "sized")
 
 
 def _readings(sized: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFrame, list, DataFrame]:
@@ -147,8 +152,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     A reading that the target ends within keeps its first words (joined by blanks), one document per source at most.
     """
     columns = docs.columns
-    sized = materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"),
-                                    F.struct("*").alias("__all")), "sized")
+    sized = _sized_documents(docs, "__all")
     _, mixed = _mix_sized(sized.drop("__all"), block, WEIGHTS, MOST_REPEATS)
     readings = mixed.groupBy("row", "pass").agg(F.max("word_to").alias("words"))
     words = F.split(F.regexp_replace(F.col("__all.text"), f"^{SPACE}+", ""), f"{SPACE}+")
@@ -160,18 +164,20 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return sized.join(readings, "row").select(*(v.alias(c) for c, v in values.items()))
 
 
-def whole_documents(docs: DataFrame) -> DataFrame:
-    """The mix as whole documents with the columns of ``docs``: one row per document and reading, every text as it is.
+def whole_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mix as whole documents with the columns of ``docs``, in the order of the schedule: one row per document and reading.
 
-    A reading that the target ends within is taken if that comes nearer to the target than leaving it out, and always
-    if it is the source's only one. Sources stray from their targets by half a document, or by the rest of their only one.
+    A reading stands where the slot stands that takes the block in which it begins; readings of one block keep their order. A
+    reading without such a slot is not taken, and one that the target ends within only if that comes nearer to the target than
+    leaving it out, or if it is the source's only one. Sources stray from their targets by half a document, or by the rest of their
+    only one. Written, the rows are in training order within and across the files.
     """
-    columns = docs.columns
-    sized = materialize(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"),
-                                    F.struct("*").alias("__all")), "sized")
-    _, _, readings = _readings(sized.drop("__all"), WEIGHTS, MOST_REPEATS)
+    sized = _sized_documents(docs, "__all")
+    _, listed, readings = _readings(sized.drop("__all"), WEIGHTS, MOST_REPEATS)
     nearer = 2 * (F.col("last") - F.col("first")) >= F.col("size")
-    return sized.join(readings.where(nearer | (F.col("first") == 0)).select("row"), "row").select(*(F.col("__all")[c].alias(c) for c in columns))
+    begin = readings.where(nearer | (F.col("first") == 0)).select("k", "row", "first", F.floor(F.col("first") / block).cast("long").alias("block"))
+    placed = begin.join(_slots(sized.sparkSession, [r["want"] for r in listed], block), ["k", "block"]).select("row", "slot", "first")
+    return sized.select("row", "__all").join(placed, "row").orderBy("slot", "first").select(*(F.col("__all")[c].alias(c) for c in docs.columns))
 
 
 ORACLE = r"""

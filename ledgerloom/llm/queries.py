@@ -98,6 +98,7 @@ REGISTRY: dict[str, Query] = {
 }
 ORACLE: dict[str, str] = {
     "op1_mix_to_weights": mixing.ORACLE,
+    "op4_near_embeddings": collision_projections.ORACLE,
     "op5_url_verdicts": url_rules.ORACLE,
     "op6_exact_duplicates": chunk_recipes.ORACLE,
     "op12_vector_codes": equal_average.ORACLE,

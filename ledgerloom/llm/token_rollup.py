@@ -1,21 +1,26 @@
 """Token totals kept up to date by signed deltas (operator 8).
 
 A batch of changes says which documents came (insert), went (delete) or were counted anew (revise), with the counts before and
-after. ``signed`` turns that into additive rows; ``Rollup.commit`` sums a batch by source, language and tokenizer version and
-publishes it as one folder named by the batch. Totals are the sum over published folders, so a batch committed again
-(after a lost executor, a lost driver or a repeated delivery) replaces itself instead of counting twice.
+after. ``signed`` turns that into additive rows; ``Rollup.commit`` sums a batch by source, language and tokenizer version, writes
+the sums to a folder of this attempt, and then publishes the attempt by one row in a small marker table. Readers follow the newest marker of each
+batch, so a batch committed again (after a lost executor, a lost driver or a repeated delivery) replaces itself instead of counting
+twice, and an attempt that ended before its marker was written is never seen: totals are those before or those after.
 
-Rows: null source, language or counts are values of their own and zero; a revision without a count before counts as new tokens
+Rows: before the first commit there are no rows; null source, language or counts are values of their own and zero; a revision without a count before counts as new tokens
 of a known document; empty batches publish an empty folder; repeated rows in a batch are separate changes; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import RANK_FILE, TOKENIZER_FILE, byte_bpe
 from ledgerloom.session import materialize
+from ledgerloom.sources.staging import read_if_present
 
 KEYS = ("source", "lang", "tokenizer")
 
@@ -29,20 +34,37 @@ def signed(changes: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Additive totals in a folder; one sub-folder per committed batch."""
+    """Additive totals in a folder: sums by batch and attempt under ``data``, the published attempts in ``published``."""
 
     SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long"
+    _MARKER = "batch string, attempt string, at long"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def commit(self, batch: str, changes: DataFrame) -> None:
+    def prepare(self, batch: str, changes: DataFrame) -> str:
+        """Write the sums of a batch where no reader looks, and return the attempt's name."""
+        attempt = uuid.uuid4().hex
         sums = signed(changes).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        sums.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        sums.withColumn("batch", F.lit(batch)).write.parquet(f"{self.path}/data/{attempt}")
+        return attempt
+
+    def publish(self, batch: str, attempt: str) -> None:
+        """Make an attempt the one that counts for its batch: a single new file."""
+        marker = self.spark.createDataFrame([(batch, attempt, time.time_ns())], self._MARKER)
+        marker.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+
+    def commit(self, batch: str, changes: DataFrame) -> None:
+        self.publish(batch, self.prepare(batch, changes))
 
     def deltas(self) -> DataFrame:
         """The published rows, each with its batch."""
-        return self.spark.read.schema(f"{self.SCHEMA}, batch string").option("basePath", self.path).parquet(self.path)
+        markers = read_if_present(self.spark, lambda: self.spark.read.schema(self._MARKER).parquet(f"{self.path}/published"), self._MARKER)
+        newest = markers.groupBy("batch").agg(F.max_by("attempt", F.struct("at", "attempt")).alias("attempt")).collect()  # one row per batch
+        schema = f"{self.SCHEMA}, batch string"
+        if not newest:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/data/{r['attempt']}" for r in newest))
 
     def totals(self) -> DataFrame:
         """Documents and tokens by key; keys whose documents are all gone drop out."""

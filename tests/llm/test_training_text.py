@@ -122,6 +122,29 @@ def test_registered_schedule_is_even_and_whole(spark):
         assert [places[s][1] for s in sorted(places) if places[s][0] == source] == list(range(n))
 
 
+def test_whole_documents_stand_in_the_order_of_the_schedule(spark):
+    docs = table(spark, "documents")
+    block = 64
+    rank = defaultdict(list)                            # source -> the slots of its blocks, in order
+    for r in sorted(mixing.schedule(docs, block).select("slot", "source", "block").distinct().collect(), key=lambda r: r["slot"]):
+        rank[r["source"]].append(r["slot"])
+    found = mixing.whole_documents(docs, block).collect()
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+    at, last = Counter(), -1
+    for r in found:                                     # each stands at the slot of the block that its first word falls into
+        slot = rank[r["source"]][at[r["source"]] // block]
+        assert slot >= last
+        at[r["source"]], last = at[r["source"]] + size(r), slot
+    assert len(found) > 100 and len({r["source"] for r in found[:40]}) > 3
+
+
+def test_mix_keeps_columns_named_like_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", 1.5, "r"), (2, "d", "t", 2.5, "q")], "doc_id long, text string, source string, size double, row string")
+    sized, _, mixed = mixing.mix(docs)
+    assert rows(sized, "doc.size", "doc.row", "size") == [(1.5, "r", 3), (2.5, "q", 1)] and mixed.count() > 0
+    assert rows(mixing.whole_documents(docs), "size", "row")[0] == (1.5, "r")
+
+
 def test_mixed_documents_keep_words_and_columns(spark, odd_docs):
     found = mixing.mixed_documents(odd_docs)
     assert found.columns == odd_docs.columns
@@ -246,6 +269,31 @@ def test_near_copies_odd_rows(spark, odd_docs):
     assert dart_minhash.near_classes(empty(spark)).count() == 0
 
 
+def test_rows_without_words_are_no_copies_of_one_another(spark):
+    """Every class keeps one row, in the classes and in the stage; columns with private-looking names survive."""
+    texts = [(1, None), (1, None), (2, ""), (2, " \n\t "), (3, "a b"), (3, "a b"), (4, "\u2003"), (None, "")]
+    docs = spark.createDataFrame([(i, t, f"o{k}", f"r{k}") for k, (i, t) in enumerate(texts)], "doc_id long, text string, __own string, __row string")
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in dart_minhash.drop_near_copies(docs).collect())
+    assert kept == [(0, ""), (1, ""), (1, ""), (2, ""), (2, " \n\t "), (3, "a b"), (4, "\u2003")]
+    assert sum(r["kept"] for r in dart_minhash.near_classes(docs).collect()) == len(kept)
+    for stage in (dart_minhash.drop_near_copies, chunk_recipes.drop_copies):
+        out = stage(docs)
+        assert out.columns == docs.columns and all(r["__own"][0] == "o" and r["__row"][0] == "r" for r in out.collect())
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200, 5e-320])
+def test_extreme_vectors_link_like_others(spark, scale):
+    rng = np.random.default_rng(2)
+    base, other = rng.normal(size=16), rng.normal(size=16)
+    vectors = [base, base * 1.01 + 1e-3, base, other, np.zeros(16)]
+    data = [(i, (np.clip(v, -9, 9) * scale).tolist()) for i, v in enumerate(vectors)] + [(None, (other * 1e-3).tolist()), (None, [0.0] * 16)]
+    found = collision_projections.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    by = {r["vec_id"]: r for r in found if r["vec_id"] is not None}
+    assert [(by[i]["n_links"], by[i]["component_id"], by[i]["kept"]) for i in range(5)] == [
+        (2, 0, True), (2, 0, False), (2, 0, False), (1, 3, True), (0, 4, True)]
+    assert sorted((r["n_links"], r["component_id"], r["kept"]) for r in found if r["vec_id"] is None) == [(0, None, True), (1, 3, False)]
+
+
 # --- 3, 7, 10: classifiers -------------------------------------------------------------------
 
 @pytest.mark.parametrize("name, label, least", [("op3_quality", "quality", 0.95), ("op7_toxicity", "toxic", 0.9)])
@@ -423,6 +471,23 @@ def test_rollup_is_idempotent(spark, tmp_path):
     assert rows(rollup.totals(), "source", "lang", "tokenizer", "docs", "tokens") == sorted([("a", "en", "t", 1, 9), (None, None, "t", 1, 0)], key=str)
 
 
+def test_rollup_commits_whole_or_not_at_all(spark, tmp_path):
+    kinds = "change string, source string, lang string, tokenizer string, tokens long, tokens_before long"
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "totals"))
+    assert rollup.totals().count() == 0 and rollup.deltas().columns == ["source", "lang", "tokenizer", "docs", "tokens", "batch"]
+    insert = lambda n: spark.createDataFrame([("insert", "a", "en", "t", n, None)], kinds)
+    rollup.prepare("1", insert(5))                     # the driver is lost before the marker is written
+    assert rollup.totals().count() == 0
+    rollup.commit("1", insert(5))
+    lost = rollup.prepare("1", insert(50))             # a second delivery, written but not yet published
+    rollup.prepare("2", insert(7))
+    assert rows(rollup.totals(), "docs", "tokens") == [(1, 5)]
+    rollup.publish("1", lost)
+    assert rows(rollup.totals(), "docs", "tokens") == [(1, 50)]
+    rollup.commit("2", insert(7).limit(0))
+    assert rows(rollup.totals(), "docs", "tokens") == [(1, 50)]
+
+
 def test_corpus_totals_match_a_plain_count(spark, odd_docs, tmp_path):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(vocabulary_path(TOKENIZER_FILE))
