@@ -6,6 +6,7 @@ read, and a micro-batch that is tried again overwrites its own directory.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -32,13 +33,19 @@ def consume_once(stream: DataFrame, target: str, checkpoint: str) -> None:
     drain(stream, checkpoint, stage)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()["value"])["id"]
+
+
 def ingest_landing(spark: SparkSession, warehouse: Warehouse, landing_dir: str, table: str, checkpoint: str,
                    load_ts: datetime, files_per_batch: int = 1000) -> None:
     """Stage new CSV files of one table. Each micro-batch becomes a staged load of the
     warehouse, which the next monthly run finds unprocessed.
 
-    The slot name carries the micro-batch number: a replayed micro-batch replaces its slot
-    instead of adding rows.
+    The slot name carries the stream's id, which its checkpoint keeps, and the number of the micro-batch: a replayed
+    micro-batch replaces its slot instead of adding rows, and no other landing folder or checkpoint can meet it. A new
+    checkpoint is a new stream and reads its folder from the start.
     """
     files = (spark.readStream.schema(file_schema(table)).option("header", True).option("encoding", "UTF-8")
              .option("maxFilesPerTrigger", files_per_batch).csv(landing_dir))
@@ -46,7 +53,7 @@ def ingest_landing(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
     def stage(rows: DataFrame, epoch: int) -> None:
         batch = warehouse.open_batch(f"INGEST_{table}", load_ts)
         staged = add_ingest_columns(rows, table, batch.batch_id, load_ts)
-        batch.write(table, staged, F.lit(f"stream{epoch}"))
+        batch.write(table, staged, F.lit(f"stream-{stream_id(spark, checkpoint)}-{epoch}"))
         batch.publish()
         batch.close("SUCCESS")
 

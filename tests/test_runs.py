@@ -1,6 +1,7 @@
 import csv
 import json
 import math
+import shutil
 from datetime import date, datetime
 
 import pytest
@@ -163,3 +164,27 @@ def test_stream_consumes_each_file_once(spark, tmp_path):
     batch.consume("stg_customers", slots)
     batch.publish()
     assert wh.open_batch("PROBE", T1).unprocessed("stg_customers")[1] == []
+
+
+def test_streams_of_two_folders_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    """A second landing folder, with a run between them, and then a checkpoint made anew in the same place."""
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+
+    def consume():
+        batch = wh.open_batch("PROBE", T1)
+        rows, slots = batch.unprocessed("stg_customers")
+        found = sorted(r.customer_source_id for r in rows.collect())
+        batch.consume("stg_customers", slots)
+        batch.publish()
+        return found
+
+    for k, name in enumerate(["one", "two", "three"]):
+        write_csv(tmp_path / name, "stg_customers", [[f"C{k}", "n", "", "N", "Retail", "TN", "2020-01-01"]])
+    ingest_landing(spark, wh, str(tmp_path / "one"), "stg_customers", str(tmp_path / "cp1"), T1)
+    assert consume() == ["C0"]
+    ingest_landing(spark, wh, str(tmp_path / "two"), "stg_customers", str(tmp_path / "cp2"), T1)
+    assert consume() == ["C1"] and consume() == []
+    shutil.rmtree(tmp_path / "cp1")
+    ingest_landing(spark, wh, str(tmp_path / "three"), "stg_customers", str(tmp_path / "cp1"), T1)
+    assert consume() == ["C2"]
+    assert sorted(r.customer_source_id for r in wh.read("stg_customers").collect()) == ["C0", "C1", "C2"]
