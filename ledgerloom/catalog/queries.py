@@ -456,7 +456,7 @@ def _warehouse_run(f: Frames) -> Warehouse:
     warehouse = Warehouse(f.spark, f"{work_dir(f.spark)}/warehouse-{uuid.uuid4().hex}")
     load = warehouse.open_batch("STAGE_VIEWS", RUN_1)
     for table, df in f.staging.items():
-        load.write(table, df.withColumn("source_system", F.lit("SUPPLIED")), F.lit("load1"))
+        load.write(table, df.withColumn("source_system", F.lit("SUPPLIED")), "load1")
     load.publish()
     load.close("SUCCESS")
     run_full_etl(warehouse, AS_OF_KEY, "MONTHLY_CHECK", RUN_1, CALENDAR, buckets=4)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,10 +61,27 @@ class ContractError(RuntimeError):
     """A layer may not be published; the message names each broken contract and its count."""
 
 
+def _row_tests(contract: Contract) -> list[tuple[str, Column]]:
+    """(name, broken) of the NOT NULL and CHECK contracts."""
+    tests = [(f"not_null:{c}", F.col(c).isNull()) for c in contract.not_null]
+    return tests + [(f"check:{name}", ~F.expr(condition)) for name, condition in contract.checks.items()]
+
+
+def row_figures(contract: Contract) -> dict[str, Column]:
+    """Violations of the row contracts, to be measured while the rows are written."""
+    return {f"broken_{i}": F.count_if(test) for i, (_, test) in enumerate(_row_tests(contract))}
+
+
+def enforce_figures(contract: Contract, found: dict) -> None:
+    """Raise when measured row contracts are broken."""
+    broken = [(name, found[f"broken_{i}"]) for i, (name, _) in enumerate(_row_tests(contract)) if found[f"broken_{i}"]]
+    if broken:
+        raise ContractError("contract violated: " + "; ".join(f"{contract.table} {name}: {n}" for name, n in broken))
+
+
 def _row_level(df: DataFrame, contract: Contract) -> DataFrame | None:
     """NOT NULL and CHECK counts, all in one aggregation over one scan."""
-    tests = [(f"not_null:{c}", F.col(c).isNull()) for c in contract.not_null]
-    tests += [(f"check:{name}", ~F.expr(condition)) for name, condition in contract.checks.items()]
+    tests = _row_tests(contract)
     if not tests:
         return None
     counted = df.agg(*[F.count_if(test).alias(f"t{i}") for i, (_, test) in enumerate(tests)])

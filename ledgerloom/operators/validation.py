@@ -31,12 +31,14 @@ def with_reason(staged: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def quarantine_rows(classified: DataFrame, source_table: str, columns: list[str],
                     batch_id: int, run_ts: Column) -> DataFrame:
-    """Rejected rows with the reason and the raw row as JSON (NULL fields left out)."""
+    """Rejected rows with the reason, the number of the rule if one rejected them, and the raw row as JSON
+    (NULL fields left out)."""
+    rule = F.col("rule_id") if "rule_id" in classified.columns else F.lit(None)
     return classified.where(F.col(REASON).isNotNull()).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.lit(source_table).alias("source_table"),
         F.col("row_id").cast("bigint").alias("source_row_id"),
-        F.lit(None).cast("int").alias("rule_id"),
+        rule.cast("int").alias("rule_id"),
         F.col(REASON),
         F.to_json(F.struct(*columns)).alias("raw_payload"),
         run_ts.alias("quarantined_at"),

@@ -148,6 +148,13 @@ def valid_values(table: str, classified: DataFrame) -> DataFrame:
     return classified.where(F.col(REASON).isNull()).select(*values)
 
 
+def converted_keys(table: str) -> dict[str, Column]:
+    """The key columns of classified rows as the cleansed table spells them."""
+    spec = CLEANSERS[table]
+    changed = spec.convert().keys()
+    return {k: _typed(k) if k in changed else F.col(k) for k in spec.keys}
+
+
 def typed(table: str, classified: DataFrame, batch_id: int, run_ts: Column) -> DataFrame:
     """Valid rows converted, newest per key. Keys are compared after conversion, so two
     spellings of one report date count as the same key."""

@@ -11,11 +11,9 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerloom.schemas import file_schema
-from ledgerloom.sources.staging import add_ingest_columns
-from ledgerloom.sources.warehouse import Warehouse
+from ledgerloom.sources.staging import parse_lines, raw_lines
+from ledgerloom.sources.warehouse import Warehouse, stage_lines
 
 
 def drain(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
@@ -47,13 +45,11 @@ def ingest_landing(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
     micro-batch replaces its slot instead of adding rows, and no other landing folder or checkpoint can meet it. A new
     checkpoint is a new stream and reads its folder from the start.
     """
-    files = (spark.readStream.schema(file_schema(table)).option("header", True).option("encoding", "UTF-8")
-             .option("maxFilesPerTrigger", files_per_batch).csv(landing_dir))
+    files = raw_lines(spark.readStream.option("maxFilesPerTrigger", files_per_batch), landing_dir, table)
 
-    def stage(rows: DataFrame, epoch: int) -> None:
+    def stage(lines: DataFrame, epoch: int) -> None:
         batch = warehouse.open_batch(f"INGEST_{table}", load_ts)
-        staged = add_ingest_columns(rows, table, batch.batch_id, load_ts)
-        batch.write(table, staged, F.lit(f"stream-{stream_id(spark, checkpoint)}-{epoch}"))
+        stage_lines(batch, parse_lines(lines, table), table, f"stream-{stream_id(spark, checkpoint)}-{epoch}", load_ts)
         batch.publish()
         batch.close("SUCCESS")
 

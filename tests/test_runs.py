@@ -2,14 +2,17 @@ import csv
 import json
 import math
 import shutil
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.contracts import ContractError
-from ledgerloom.plans.monthly_run import load_staging, run_full_etl, verify_run
-from ledgerloom.plans.published import build_ecl_inputs, cleanse_macro, detect_drift, group_totals, write_reports
+from ledgerloom.operators.rules import RuleError, rule_report
+from ledgerloom.plans.monthly_run import MonthlyRun, load_staging, run_full_etl, verify_run
+from ledgerloom.plans.published import (build_ecl_inputs, cleanse_macro, contract_report, detect_drift, group_totals,
+                                            write_reports)
+from ledgerloom.plans.replay import replay_quarantine
 from ledgerloom.schemas import STAGING_COLUMNS
 from ledgerloom.sources.warehouse import Warehouse
 from ledgerloom.streaming.ingest import ingest_landing
@@ -64,7 +67,7 @@ def test_two_monthly_runs(warehouse):
     wh, home = warehouse
     outcome = verify_run(wh, "M")
     assert (outcome["batch_id"], outcome["rows_ingested"], outcome["rows_quarantined"]) == (2, 2, 2 + 2 + 2 + 1)
-    steps = [(r.step_name, r.row_count) for r in wh.step_log().where("batch_id = 2").collect()]
+    steps = [(r.step_name, r.row_count) for r in wh.step_log().where("batch_id = 2 AND status = 'SUCCESS' AND started_at <= ended_at").collect()]
     assert dict(steps)["cleanse_transactions"] == 5 and len(steps) == 9
     reasons = {(r.source_table, r.failure_reason) for r in wh.read("quarantine").collect()}
     assert ("stg_customers", "segment manquant") in reasons and ("stg_accounts", "credit_limit négatif") in reasons
@@ -188,3 +191,140 @@ def test_streams_of_two_folders_and_a_new_checkpoint_lose_nothing(spark, tmp_pat
     ingest_landing(spark, wh, str(tmp_path / "three"), "stg_customers", str(tmp_path / "cp1"), T1)
     assert consume() == ["C2"]
     assert sorted(r.customer_source_id for r in wh.read("stg_customers").collect()) == ["C0", "C1", "C2"]
+
+
+def test_contracts_of_the_published_tables(warehouse):
+    """What the run measured row by row holds for the tables as a whole: keys and references too."""
+    wh, _ = warehouse
+    found = {(r.table_name, r.contract): r.violations for r in contract_report(wh).collect()}
+    assert ("transactions", "unique:transaction_id") in found and ("fact_exposure", "reference:customer_key->dim_customer") in found
+    assert set(found.values()) == {0}
+
+
+def test_steps_are_visible_while_they_run(spark, tmp_path):
+    first_load(tmp_path / "in")
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    load_staging(wh, str(tmp_path / "in"), T1)
+    run = MonthlyRun(wh, 20260731, "M", T1, ("2018-01-01", "2030-12-31"), 2, "account_rows")
+    seen = {}
+
+    def stop():
+        seen.update({r.step_name: (r.status, r.ended_at is None) for r in wh.step_log().collect()})
+        raise RuntimeError("stopped")
+
+    run.plan = lambda: [("cleanse_customers", lambda: run.cleanse("customers")), ("hangs", stop)]
+    with pytest.raises(RuntimeError, match="stopped"):
+        run.execute()
+    assert seen == {"cleanse_customers": ("SUCCESS", False), "hangs": ("RUNNING", True)}
+    assert {r.step_name: r.status for r in wh.step_log().collect()} == {"cleanse_customers": "SUCCESS", "hangs": "FAILED"}
+
+
+def test_an_as_of_date_outside_the_calendar_is_refused(spark, tmp_path):
+    first_load(tmp_path / "in")
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    load_staging(wh, str(tmp_path / "in"), T1)
+    with pytest.raises(ContractError, match="reference:date_key->dim_date"):
+        run_full_etl(wh, 20260731, "M", T1, calendar=("2018-01-01", "2026-06-30"), buckets=2)
+
+
+def test_slots_know_their_days_and_a_range_opens_only_those(warehouse):
+    wh, _ = warehouse
+    live = wh.live()
+    slots = {name: (s.rows, str(s.low), str(s.high)) for (t, name), s in live.items() if t == "transactions"}
+    assert slots == {"m202607": (2, "2026-07-01", "2026-07-01"), "m202608": (2, "2026-08-01", "2026-08-02")}
+    for table, (name, s) in ((t, (n, s)) for (t, n), s in live.items() if s.rows is not None and not t.startswith("consumed")):
+        assert s.rows == wh.read(table, live, lambda n, name=name: n == name).count()
+    july = wh.read("transactions", live, days=(date(2026, 7, 1), date(2026, 7, 31)))
+    assert {p.split("/slot=")[1].split("/")[0] for p in july.inputFiles()} == {"m202607"} and july.count() == 2
+    assert wh.read("transactions", live, days=(date(2026, 8, 2), date(2026, 8, 9))).count() == 1
+    assert wh.read("transactions", live, days=(date(2030, 1, 1), date(2030, 1, 2))).count() == 0
+    august = wh.read("fact_exposure", live, days=(date(2026, 8, 1), date(2026, 8, 31)))
+    assert {p.split("/slot=")[1].split("/")[0] for p in august.inputFiles()} == {"d20260831"}
+
+
+def test_damaged_lines_are_quarantined_with_their_text(spark, tmp_path):
+    sound = ["C1,\"Ann, \"\"A\"\"\",1980-01-01,N1,Retail,TN,2020-01-01", "C2,Bob,,N2,SME,TN,"]
+    damaged = ["C3,Cyd,1980-01-01,N3,Retail,TN,2020-01-01,EXTRA", "C4,\"Dee,1980-01-01,N4,Retail,TN,2020-01-01", "C5,Eve",
+               "C6,Fay,1980-01-01,N6,Retail,TN,\"2020-01-01"]
+    (tmp_path / "in").mkdir()
+    text = "\r\n".join([",".join(STAGING_COLUMNS["stg_customers"]), *sound[:1], *damaged, "", *sound[1:]])
+    (tmp_path / "in" / "stg_customers.csv").write_text(text + "\r\n", newline="")
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    load = load_staging(wh, str(tmp_path / "in"), T1)
+    assert [(r.customer_source_id, r.full_name, r.onboarding_date) for r in wh.read("stg_customers").orderBy("row_id").collect()] == [
+        ("C1", 'Ann, "A"', "2020-01-01"), ("C2", "Bob", None)]
+    records = wh.read("quarantine").collect()
+    assert sorted(json.loads(r.raw_payload)["line"] for r in records) == sorted(damaged)
+    assert {(r.source_table, r.failure_reason, r.batch_id, r.is_resolved) for r in records} == {("stg_customers", "damaged line", load, False)}
+    logged = wh.run_log().where(F.col("batch_id") == load).first()
+    assert (logged.rows_ingested, logged.rows_quarantined) == (len(sound), len(damaged))
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text(text, newline="")
+    ingest_landing(spark, wh, str(landing), "stg_customers", str(tmp_path / "cp"), T1)
+    assert wh.read("stg_customers").count() == 4 and wh.read("quarantine").count() == 8
+    (tmp_path / "in" / "stg_customers.csv").write_text("wrong,header\nC1,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_staging(wh, str(tmp_path / "in"), T1)
+
+
+def test_quarantined_rows_enter_once_their_parent_has_come(spark, tmp_path):
+    """C9 and its account come late; the account's movements follow it, a corrected one is not undone, and nothing enters twice."""
+    write_csv(tmp_path / "in1", "stg_customers", [["C1", "Ann", "1980-01-01", "N1", "Retail", "TN", "2020-01-01"]])
+    write_csv(tmp_path / "in1", "stg_accounts", [
+        ["A1", "C1", "MTG-STD", "BR-TUN-01", "2020-01-01", "1000", "0.05", "TND", ""], ["A9", "C9", "SME-WC", "BR-TUN-02", "2020-01-01", "900.50", "", "TND", ""],
+        ["A8", "C9", "SME-WC", "BR-TUN-02", "2020-01-01", "bad", "", "TND", ""], ["A7", "C7", "SME-WC", "BR-TUN-02", "2020-01-01", "1", "", "TND", ""]])
+    write_csv(tmp_path / "in1", "stg_transactions", [["T1", "A1", "2026-07-01", "5", "FEE", "0"], ["T9", "A9", "2026-07-02", "80.25", "FEE", "3"],
+                                                     ["T8", "A9", "2026-06-02", "10", "FEE", "0"]])
+    write_csv(tmp_path / "in1", "stg_credit_bureau", [["C9", "640", "1", "", "20260601"]])
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    load_staging(wh, str(tmp_path / "in1"), T1)
+    run_full_etl(wh, 20260731, "M", T1, buckets=2)
+    assert wh.read("quarantine").count() == 6 and replay_quarantine(wh, T1, buckets=2) == {"accounts": 0, "transactions": 0, "credit_bureau": 0}
+    write_csv(tmp_path / "in2", "stg_customers", [["C9", "Zoe", "", "N9", "SME", "TN", "2020-01-01"]])
+    write_csv(tmp_path / "in2", "stg_transactions", [["T8", "A1", "2026-08-02", "11", "FEE", "0"]])
+    load_staging(wh, str(tmp_path / "in2"), T2)
+    run_full_etl(wh, 20260831, "M", T2, buckets=2)
+    assert replay_quarantine(wh, T2, buckets=2) == {"accounts": 1, "transactions": 2, "credit_bureau": 1}
+    accounts = {r.account_source_id: (float(r.credit_limit), r.parent_group_id) for r in wh.read("accounts").collect()}
+    assert accounts == {"A1": (1000.0, None), "A9": (900.5, None)}
+    moves = {r.transaction_id: (str(r.transaction_date), float(r.amount), r.dpd_snapshot) for r in wh.read("transactions").collect()}
+    assert moves == {"T1": ("2026-07-01", 5.0, 0), "T9": ("2026-07-02", 80.25, 3), "T8": ("2026-08-02", 11.0, 0)}
+    assert [(r.customer_source_id, r.bureau_score, str(r.report_date)) for r in wh.read("credit_bureau").collect()] == [("C9", 640, "2026-06-01")]
+    records = {json.loads(r.raw_payload).get("transaction_id") or json.loads(r.raw_payload).get("account_source_id") or "bureau":
+               (r.is_resolved, r.failure_reason) for r in wh.read("quarantine").collect()}
+    assert len(records) == 6 == wh.read("quarantine").count()
+    assert {k: v[0] for k, v in records.items()} == {"A9": True, "A8": False, "A7": False, "T9": True, "T8": True, "bureau": True}
+    assert records["A8"][1] == "credit_limit non convertible" and records["A7"][1].startswith("customer_source_id inconnu")
+    assert replay_quarantine(wh, T2, buckets=2) == {"accounts": 0, "transactions": 0, "credit_bureau": 0}
+
+
+def test_error_rules_block_and_warnings_are_logged(spark, tmp_path):
+    first_load(tmp_path / "in")
+    write_csv(tmp_path / "in", "stg_customers", [["C1", "Ann", "1980-01-01", "N1", "Retail", "TN", "2020-01-01"], ["C2", "Bob", "", "X2", "SME", "TN", "2020-01-01"]])
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    load_staging(wh, str(tmp_path / "in"), T1)
+    kinds = "rule_id int, target_table string, target_column string, rule_type string, rule_expression string, severity string, is_active boolean"
+    catalogue = [
+        (1, "stg_customers", "national_id", "REGEX", "N[0-9]+", "ERROR", True), (2, "stg_accounts", "parent_group_id", "REFERENTIAL", "customers.customer_source_id", "WARNING", True),
+        (3, "stg_transactions", "dpd_snapshot", "RANGE", "<= 10", "ERROR", True), (4, "stg_customers", "load_ts", "FRESHNESS", "<= 5 DAYS", "ERROR", True),
+        (5, "stg_accounts", "load_ts", "FRESHNESS", "<= 1 DAYS", "WARNING", True), (6, "stg_customers", "segment", "NOT_NULL", None, "ERROR", False)]
+    rules = spark.createDataFrame(catalogue, kinds)
+    run_full_etl(wh, 20260731, "M", T1 + timedelta(days=3), buckets=2, rules=rules)
+    blocked = {(json.loads(r.raw_payload).get("transaction_id") or json.loads(r.raw_payload)["customer_source_id"], r.rule_id, r.failure_reason)
+               for r in wh.read("quarantine").where("rule_id IS NOT NULL").collect()}
+    assert blocked == {("C2", 1, "rule 1: national_id REGEX N[0-9]+"), ("T2", 3, "rule 3: dpd_snapshot RANGE <= 10")}
+    warned = {r.step_name: r.row_count for r in wh.step_log().where("status = 'WARNING'").collect()}
+    assert warned == {"warning_rule_2": 1, "warning_rule_5": 1}
+    with pytest.raises(RuleError, match="stg_customers rule 4"):
+        run_full_etl(wh, 20260831, "LATE", T2, buckets=2, rules=rules)
+    # Freshness from the manifest alone: no staged table is given, and the reported rows are the manifest's.
+    live = wh.live()
+    slots = {t: [s for (name, _), s in live.items() if name == t] for t in ("stg_customers", "stg_accounts")}
+    found = {r.rule_id: (r.rows_checked, r.rows_failed) for r in rule_report({}, rules, slots=slots, today=T2.date()).collect()}
+    assert found == {4: (2, 1), 5: (4, 1)}
+    assert {r.rule_id: r.rows_failed for r in rule_report({}, rules, slots=slots, today=T1.date()).collect()} == {4: 0, 5: 0}
+    with pytest.raises(ValueError, match="unsupported rule expression"):
+        rule_report({}, spark.createDataFrame([(9, "stg_customers", "x", "FRESHNESS", "soon", "ERROR", True)], kinds), slots=slots, today=T1.date())
+    with pytest.raises(ValueError, match="table.column"):
+        rule_report({"stg_customers": wh.read("stg_customers")}, spark.createDataFrame([(9, "stg_customers", "segment", "REFERENTIAL", "x", "ERROR", True)], kinds))
