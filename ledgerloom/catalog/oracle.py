@@ -113,6 +113,12 @@ CTES: dict[str, str] = {
         SELECT (SELECT max(customer_key) FROM dim_1) + row_number() OVER (ORDER BY customer_source_id),
           customer_source_id, full_name, segment, country_code, bureau_score_band, DATE '2026-02-01',
           DATE '9999-12-31', 1, CASE WHEN old_key IS NULL THEN 1 ELSE 2 END FROM changed""",
+    "band_versions": f"""SELECT customer_source_id, bureau_score_band, report_date AS effective_date, lead(report_date) OVER w AS expiry_date,
+          row_number() OVER w AS version_number
+        FROM (SELECT *, lag(bureau_score_band) OVER v AS before, row_number() OVER v AS rn
+              FROM (SELECT customer_source_id, report_date, {_BAND} AS bureau_score_band FROM bureau) b
+              WINDOW v AS (PARTITION BY customer_source_id ORDER BY report_date)) t
+        WHERE rn = 1 OR bureau_score_band IS DISTINCT FROM before WINDOW w AS (PARTITION BY customer_source_id ORDER BY report_date)""",
     "snapshots": "SELECT * FROM (VALUES " + ", ".join(f"(DATE '{d}')" for d in SNAPSHOTS) + ") t(as_of)",
     "states": f"""SELECT s.as_of, t.account_source_id, sum({_SIGNED}) AS balance, max(dpd_snapshot) AS dpd
         FROM transactions t JOIN snapshots s ON t.transaction_date <= s.as_of
@@ -395,6 +401,20 @@ _FINAL = {
         LEFT JOIN latest_score s ON s.customer_source_id = c.customer_source_id""",
     "scd2_two_batches": "SELECT * FROM versions",
     "scd2_current": "SELECT * FROM versions WHERE is_current = 1",
+    "scd2_collated": """WITH sent AS (SELECT customer_source_id, upper(full_name) || '  ' AS full_name, lower(segment) AS segment, country_code, bureau_score_band
+            FROM source_2),
+          differs AS (SELECT d.customer_key AS old_key, s.* FROM sent s LEFT JOIN dim_1 d USING (customer_source_id)
+            WHERE d.customer_key IS NULL OR rtrim(lower(d.full_name)) <> rtrim(lower(s.full_name)) OR rtrim(lower(d.segment)) <> rtrim(lower(s.segment))
+              OR rtrim(lower(d.country_code)) <> rtrim(lower(s.country_code))
+              OR coalesce(d.bureau_score_band, '') <> coalesce(s.bureau_score_band, ''))
+        SELECT d.*, DATE '2026-01-01' AS effective_date,
+          CASE WHEN c.old_key IS NULL THEN DATE '9999-12-31' ELSE DATE '2026-02-01' END AS expiry_date,
+          CASE WHEN c.old_key IS NULL THEN 1 ELSE 0 END AS is_current, 1 AS version_number
+        FROM dim_1 d LEFT JOIN differs c ON c.old_key = d.customer_key
+        UNION ALL
+        SELECT (SELECT max(customer_key) FROM dim_1) + row_number() OVER (ORDER BY customer_source_id),
+          lower(customer_source_id) || ' ', full_name, segment, country_code, bureau_score_band, DATE '2026-02-01',
+          DATE '9999-12-31', 1, CASE WHEN old_key IS NULL THEN 1 ELSE 2 END FROM differs""",
     "surrogate_keys": """SELECT customer_source_id, account_source_id,
         row_number() OVER (ORDER BY customer_source_id, account_source_id) AS surrogate_key FROM stg_accounts""",
     "flagship_stage_exposure": f"""SELECT {_STAGE.format('coalesce(dpd, 0)')} AS ifrs9_stage, count(*) AS n_accounts,
@@ -404,7 +424,65 @@ _FINAL = {
         LEFT JOIN (SELECT account_source_id, sum({_SIGNED}) AS balance, max(dpd_snapshot) AS dpd FROM transactions
                    WHERE transaction_date <= {AS_OF} GROUP BY 1) t USING (account_source_id) GROUP BY 1""",
     "fact_exposure": "SELECT * FROM exposure",
+    "fact_exposure_collated": "SELECT * FROM exposure",
     "fact_exposure_history": "SELECT * FROM exposures",
+    "exposure_point_in_time": """SELECT e.date_key, e.account_source_id, d.customer_source_id, e.outstanding_balance,
+          CASE WHEN a.opening_date <= strptime(e.date_key::VARCHAR, '%Y%m%d')::DATE THEN 1 ELSE 0 END AS opened,
+          v.bureau_score_band, CAST(v.version_number AS INT) AS version_number
+        FROM exposures e JOIN dim_1 d USING (customer_key) JOIN accounts a ON a.account_source_id = e.account_source_id
+        LEFT JOIN band_versions v ON v.customer_source_id = d.customer_source_id
+          AND strptime(e.date_key::VARCHAR, '%Y%m%d')::DATE >= v.effective_date
+          AND (v.expiry_date IS NULL OR strptime(e.date_key::VARCHAR, '%Y%m%d')::DATE < v.expiry_date)""",
+    "transaction_score_asof": """SELECT t.transaction_id, a.customer_source_id, t.transaction_date, b.bureau_score, b.report_date
+        FROM transactions t JOIN accounts a USING (account_source_id)
+        ASOF LEFT JOIN bureau b ON b.customer_source_id = a.customer_source_id AND t.transaction_date >= b.report_date""",
+    "sql_stage_exposure": f"""SELECT {_STAGE.format('coalesce(dpd, 0)')} AS ifrs9_stage, {_BAND} AS bureau_score_band, count(*) AS n_accounts,
+          CAST(sum(coalesce(balance, 0)) AS DECIMAL(28,2)) AS outstanding_balance
+        FROM accounts a LEFT JOIN (SELECT account_source_id, sum({_SIGNED}) AS balance, max(dpd_snapshot) AS dpd FROM transactions
+                   WHERE transaction_date <= {AS_OF} GROUP BY 1) t USING (account_source_id)
+        LEFT JOIN (SELECT customer_source_id, arg_max(bureau_score, report_date) AS bureau_score FROM bureau
+                   WHERE report_date <= {AS_OF} GROUP BY 1) s USING (customer_source_id) GROUP BY 1, 2""",
+    "quarantine_replay": """SELECT row_id AS source_row_id, account_source_id, TRY_CAST(opening_date AS DATE) AS opening_date,
+          TRY_CAST(credit_limit AS DECIMAL(18,2)) AS credit_limit,
+          CASE WHEN customer_source_id <> 'CUST-UNKNOWN' THEN failure_reason
+            WHEN TRY_CAST(credit_limit AS DECIMAL(18,2)) IS NULL THEN 'credit_limit non convertible'
+            WHEN TRY_CAST(credit_limit AS DECIMAL(18,2)) < 0 THEN 'credit_limit négatif'
+            WHEN TRY_CAST(opening_date AS DATE) IS NULL THEN 'opening_date non convertible' END AS failure_reason
+        FROM accounts_judged WHERE failure_reason = 'customer_source_id inconnu en cleansed.customers'""",
+    "rules_all_types": """SELECT 1 AS rule_id, 'stg_customers' AS target_table, 'customer_source_id' AS target_column,
+          'NOT_NULL' AS rule_type, 'ERROR' AS severity, count(*) AS rows_checked,
+          count(*) FILTER (customer_source_id IS NULL) AS rows_failed FROM stg_customers
+        UNION ALL SELECT 2, 'stg_customers', 'birth_date', 'REGEX', 'WARNING', count(*),
+          count(*) FILTER (NOT regexp_full_match(birth_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) FROM stg_customers
+        UNION ALL SELECT 3, 'stg_accounts', 'credit_limit', 'RANGE', 'ERROR', count(*), count(*) FILTER (
+          coalesce(TRY_CAST(credit_limit AS DECIMAL(18,2)), -1) < 0) FROM stg_accounts
+        UNION ALL SELECT 4, 'stg_accounts', 'customer_source_id', 'REFERENTIAL', 'ERROR', count(*), count(*) FILTER (
+          customer_source_id NOT IN (SELECT customer_source_id FROM stg_customers)) FROM stg_accounts
+        UNION ALL SELECT 5, 'stg_transactions', 'load_ts', 'FRESHNESS', 'ERROR', count(*),
+          CASE WHEN date_diff('day', max(load_ts)::DATE, DATE '2026-01-01') > 5000 THEN 1 ELSE 0 END FROM stg_transactions
+        UNION ALL SELECT 6, 'stg_transactions', 'load_ts', 'FRESHNESS', 'WARNING', count(*),
+          CASE WHEN date_diff('day', max(load_ts)::DATE, DATE '2026-01-01') > 30 THEN 1 ELSE 0 END FROM stg_transactions""",
+    "damaged_lines": """SELECT CASE WHEN c_custkey % 29 <> 3 AND c_custkey % 37 <> 5 AND c_custkey % 31 <> 4 THEN c_name END AS full_name,
+          CASE WHEN c_custkey % 29 = 3 THEN line || ',EXTRA' WHEN c_custkey % 37 = 5 THEN c_custkey::VARCHAR
+               WHEN c_custkey % 31 = 4 THEN line END AS damaged
+        FROM (SELECT *, c_custkey::VARCHAR || ',"' || c_name || CASE WHEN c_custkey % 31 = 4 THEN '' ELSE '"' END || ',,N,' || c_mktsegment
+              || ',TN,2020-01-01' AS line FROM customer) t""",
+    "slot_pruned_quarter": """SELECT transaction_type, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS amount, 3 AS slots_opened
+        FROM transactions WHERE transaction_date BETWEEN DATE '2000-10-01' AND DATE '2000-12-31' GROUP BY 1""",
+    "unreached_nodes": """WITH RECURSIVE g AS (SELECT account_source_id AS id, CASE WHEN n % 13 = 0 THEN NULL WHEN n % 17 = 3 THEN 'ACC-NONE'
+              WHEN n % 3 = 1 THEN 'ACC-' || (n + 1)::VARCHAR ELSE 'ACC-' || ((n * 7 + 5) % 4001)::VARCHAR END AS up
+            FROM (SELECT account_source_id, substr(account_source_id, 5)::BIGINT AS n FROM accounts) t),
+          walk AS (SELECT g.id, p.id AS anc, p.up FROM g JOIN g p ON p.id = g.up UNION SELECT w.id, p.id, p.up FROM walk w JOIN g p ON p.id = w.up),
+          ahead AS (SELECT id, count(*) AS steps, max(CASE WHEN up IS NULL THEN 1 ELSE 0 END) AS rooted,
+              max(CASE WHEN up IS NOT NULL AND up NOT IN (SELECT id FROM g) THEN 1 ELSE 0 END) AS lost,
+              max(CASE WHEN anc = id THEN 1 ELSE 0 END) AS cyclic FROM walk GROUP BY id),
+          turning AS (SELECT id FROM ahead WHERE cyclic = 1),
+          named AS (SELECT w.id, min(w.anc) AS cycle_id FROM walk w JOIN turning t ON t.id = w.anc GROUP BY w.id)
+        SELECT g.id AS account_source_id, CASE WHEN a.id IS NULL OR a.lost = 1 THEN 'orphan' WHEN a.rooted = 1 THEN 'too deep'
+            WHEN a.cyclic = 1 THEN 'cycle' ELSE 'below a cycle' END AS cause, n.cycle_id
+        FROM g LEFT JOIN ahead a ON a.id = g.id LEFT JOIN named n ON n.id = g.id
+        WHERE g.up IS NOT NULL AND NOT (coalesce(a.rooted, 0) = 1 AND coalesce(a.steps, 0) <= 10)""",
+    "drift_sketches": """SELECT period, count(*) AS n, 1 AS median_within_error FROM utilizations WHERE value IS NOT NULL AND period <> 'reference' GROUP BY period""",
     "fact_credit_event": "SELECT * FROM events_fact",
     "fact_rating_history": "SELECT * FROM ratings",
     "ecl_inputs_by_segment": """SELECT date_key, segment, scenario_key, CAST(sum(outstanding_balance) AS DECIMAL(20,2)) AS total_exposure,

@@ -12,26 +12,32 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.frames import AS_OF, CALENDAR, CALENDAR_START, RUN_1, SNAPSHOTS, Frames
 from ledgerloom.functions.convert import to_bit, to_date, to_decimal, to_int
 from ledgerloom.functions.risk import ifrs9_stage, score_band
+from ledgerloom.functions.text import SERVER
 from ledgerloom.operators.contracts import CONTRACTS, contract_violations
 from ledgerloom.operators.dedup import superseded_counts
 from ledgerloom.operators.dense import dense_index, ntile
 from ledgerloom.operators.hierarchy import expand_hierarchy
+from ledgerloom.operators.hierarchy import unreached_nodes as find_unreached
 from ledgerloom.operators.rules import rule_report
 from ledgerloom.operators.upsert import upsert
 from ledgerloom.operators.validation import REASON, quarantine_rows
-from ledgerloom.plans import drift, portfolio, quality
-from ledgerloom.plans.cleanse import CLEANSERS, classify, staged_columns, typed, valid_values
-from ledgerloom.plans.customer_dim import latest_score
-from ledgerloom.plans.facts import ecl_inputs, union_all
+from ledgerloom.plans import drift, facts, portfolio, quality
+from ledgerloom.plans.cleanse import CLEANSERS, classify, converted_keys, staged_columns, typed, valid_values
+from ledgerloom.plans.customer_dim import band_history, dimension_source, latest_score, merge_scd2
+from ledgerloom.plans.drift_states import RANK_ERROR, value_states
+from ledgerloom.plans.facts import ecl_inputs, point_in_time_exposure, transaction_scores, union_all
 from ledgerloom.plans.features import (bureau_features, customer_risk_features, exposure_tail, missed_payments,
                                        moving_windows, utilization_by_date)
 from ledgerloom.plans.groups import group_exposure, group_exposure_rollup
 from ledgerloom.plans.monthly_run import run_full_etl
-from ledgerloom.schemas import STAGING_COLUMNS, quality_rules
+from ledgerloom.plans.replay import judged_again
+from ledgerloom.schemas import STAGING_COLUMNS, literal_table, quality_rules
 from ledgerloom.session import materialize, work_dir
 from ledgerloom.sources.calendar import date_to_key
+from ledgerloom.sources.sql_surface import register_sql
+from ledgerloom.sources.staging import staging_lines
 from ledgerloom.sources.testviews import TABLES, staged_view
-from ledgerloom.sources.warehouse import Warehouse
+from ledgerloom.sources.warehouse import Warehouse, month_slot
 from ledgerloom.streaming.ingest import consume_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +210,64 @@ def rules_evaluated(f):
     return rule_report(f.staging, quality_rules(f.spark))
 
 
+# One rule of every type; the last two differ in the age they allow.
+_RULES = """
+  (1, 'stg_customers',    'customer_source_id', 'NOT_NULL',    NULL,                               'ERROR',   true),
+  (2, 'stg_customers',    'birth_date',         'REGEX',       '[0-9]{4}-[0-9]{2}-[0-9]{2}',       'WARNING', true),
+  (3, 'stg_accounts',     'credit_limit',       'RANGE',       '>= 0',                             'ERROR',   true),
+  (4, 'stg_accounts',     'customer_source_id', 'REFERENTIAL', 'stg_customers.customer_source_id', 'ERROR',   true),
+  (5, 'stg_transactions', 'load_ts',            'FRESHNESS',   '<= 5000 DAYS',                     'ERROR',   true),
+  (6, 'stg_transactions', 'load_ts',            'FRESHNESS',   '<= 30 DAYS',                       'WARNING', true)
+"""
+
+
+@query
+def rules_all_types(f):
+    """Every rule type over staging; the age of the transactions comes from the manifest of a warehouse that staged them."""
+    rules = literal_table(f.spark, _RULES, "rule_id, target_table, target_column, rule_type, rule_expression, severity, is_active")
+    load = _new_warehouse(f).open_batch("STAGE", RUN_1)
+    load.write("stg_transactions", f.staging["stg_transactions"].withColumn("source_system", F.lit("SUPPLIED")), "load1")
+    slots = {"stg_transactions": [s for (t, _), s in load.state.items() if t == "stg_transactions"]}
+    return rule_report(f.staging, rules, slots=slots, today=RUN_1.date())
+
+
+@query
+def quarantine_replay(f):
+    """Accounts rejected for an unknown customer, judged again after the missing customer has come."""
+    columns = staged_columns("accounts")
+    records = quarantine_rows(_classified(f, "accounts"), "stg_accounts", columns, 1, f.run_1)
+    arrived = f.customers.select("customer_source_id").union(f.spark.sql("SELECT 'CUST-UNKNOWN'"))
+    again = judged_again(records, "accounts", arrived)
+    key = converted_keys("accounts")["account_source_id"]
+    return again.select(F.col("record.source_row_id").alias("source_row_id"), key.alias("account_source_id"),
+                        to_date(F.col("opening_date")).alias("opening_date"), to_decimal(F.col("credit_limit"), 18, 2).alias("credit_limit"), REASON)
+
+
+@query
+def damaged_lines(f):
+    """Customers written as CSV lines, some of them damaged, and read back: sound rows by name, damaged ones by their text."""
+    key = F.col("c_custkey")
+    line = F.concat_ws(",", key.cast("string"), F.when(key % 31 == 4, F.concat(F.lit('"'), "c_name")).otherwise(F.concat(F.lit('"'), "c_name", F.lit('"'))),
+                       F.lit(""), F.lit("N"), "c_mktsegment", F.lit("TN"), F.lit("2020-01-01"))
+    line = F.when(key % 29 == 3, F.concat(line, F.lit(",EXTRA"))).when(key % 37 == 5, key.cast("string")).otherwise(line)
+    home = f"{work_dir(f.spark)}/lines-{uuid.uuid4().hex}"
+    named = f.table("customer").select(line.alias(",".join(STAGING_COLUMNS["stg_customers"])))
+    named.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(home)
+    parsed = staging_lines(f.spark, home, "stg_customers")
+    return parsed.select(F.when(F.col("damaged").isNull(), F.col("full_name")).alias("full_name"), "damaged")
+
+
+@query
+def slot_pruned_quarter(f):
+    """The movements of one quarter out of a table with a slot a month, and how many slots were opened for them."""
+    batch = _new_warehouse(f).open_batch("MONTHS", RUN_1)
+    batch.write("transactions", f.transactions, month_slot(F.col("transaction_date")))
+    rows = batch.read("transactions", days=(date(2000, 10, 1), date(2000, 12, 31)))
+    opened = len({path.split("/slot=")[1].split("/")[0] for path in rows.inputFiles()})
+    return (rows.groupBy("transaction_type").agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(28,2)").alias("amount"))
+            .withColumn("slots_opened", F.lit(opened)))
+
+
 @query
 def quality_by_table(f):
     return quality.quality_by_table(f.staging)
@@ -259,6 +323,15 @@ def scd2_current(f):
     return _versions(f.dim_customer_after_second_load.where("is_current"))
 
 
+@query
+def scd2_collated(f):
+    """The second load sent in other cases and with trailing blanks, merged as a server with such a collation does."""
+    again = dimension_source(f.customers_again, f.bureau)
+    sent = again.withColumns({"customer_source_id": F.concat(F.lower("customer_source_id"), F.lit(" ")), "segment": F.lower("segment"),
+                              "full_name": F.concat(F.upper("full_name"), F.lit("  "))})
+    return _versions(merge_scd2(f.dim_customer, sent, f.run_2, SERVER))
+
+
 @query
 def surrogate_keys(f):
     """Consecutive keys over the accounts in the order of customer and account."""
@@ -286,11 +359,44 @@ def fact_exposure(f):
     return f.exposure()
 
 
+@query
+def fact_exposure_collated(f):
+    """Exposure of accounts whose codes differ from the dimensions' in case and trailing blanks."""
+    sent = f.accounts.withColumns({c: F.concat(F.lower(c), F.lit(" ")) for c in ("product_code", "branch_code", "customer_source_id")})
+    return facts.fact_exposure(sent, f.transactions, f.dim_customer, f.products, f.branches, f.scenario_key, AS_OF, 1, CALENDAR_START, SERVER)
+
+
 @query
 def fact_exposure_history(f):
     return f.exposures()
 
 
+@query
+def exposure_point_in_time(f):
+    """Every exposure row with the score band its customer had at its date."""
+    versions = materialize(band_history(f.stored_bureau), "band-history")
+    rows = point_in_time_exposure(f.exposures(stored=True), f.accounts, f.dim_customer, versions, ["bureau_score_band", "version_number"])
+    return rows.select("date_key", "account_source_id", "customer_source_id", "outstanding_balance", F.col("opened").cast("int").alias("opened"),
+                       "bureau_score_band", "version_number")
+
+
+@query
+def transaction_score_asof(f):
+    found = transaction_scores(f.stored_transactions, f.accounts, f.stored_bureau)
+    return found.select("transaction_id", "customer_source_id", "transaction_date", "bureau_score", "report_date")
+
+
+@query
+def sql_stage_exposure(f):
+    """Written in SQL only, over the registered functions and views."""
+    register_sql(f.spark, {"accounts": f.stored_accounts, "transactions": f.stored_transactions, "credit_bureau": f.stored_bureau})
+    return f.spark.sql("""
+        SELECT ifrs9_stage(e.dpd_current) AS ifrs9_stage, score_band(s.bureau_score) AS bureau_score_band, count(*) AS n_accounts,
+               CAST(sum(e.outstanding_balance) AS DECIMAL(28,2)) AS outstanding_balance
+        FROM exposure_at(DATE '2000-12-31') e LEFT JOIN scores_at(DATE '2000-12-31') s ON s.customer_source_id = e.customer_source_id
+        GROUP BY ALL""")
+
+
 @query
 def fact_credit_event(f):
     return f.events()
@@ -351,6 +457,15 @@ def group_hierarchy(f):
     return expanded.join(links.select("account_source_id", "customer_source_id"), "account_source_id")
 
 
+@query
+def unreached_nodes(f):
+    """Accounts in a graph of made-up parents (each one function of the account's number): orphans, deep chains and cycles."""
+    links = f.stored_accounts.select("account_source_id", F.substring("account_source_id", 5, 20).cast("bigint").alias("n"))
+    parent = F.when(F.col("n") % 13 == 0, None).when(F.col("n") % 17 == 3, "ACC-NONE").when(F.col("n") % 3 == 1, F.concat(F.lit("ACC-"), (F.col("n") + 1).cast("string"))).otherwise(
+        F.concat(F.lit("ACC-"), ((F.col("n") * 7 + 5) % 4001).cast("string")))
+    return find_unreached(links.select("account_source_id", parent.alias("parent_group_id")))
+
+
 @query
 def group_exposure_view(f):
     accounts = f.stored_accounts
@@ -399,6 +514,23 @@ def feature_drift_status(f):
     return drift.feature_drift_status(_psi(f))
 
 
+@query
+def drift_sketches(f):
+    """Sketched utilisation per quarter: its number of values, and whether its median is within the stated rank error of the
+    exact one."""
+    first, quarters = drift.snapshot_dates(f.month_end_transactions)
+    periods = [name for name, _ in quarters]
+    spells = drift.utilization_spells(f.month_end_transactions, f.stored_accounts, [day for _, day in quarters])
+    labels = F.array(*[F.lit(p) for p in periods])
+    values = materialize(spells.select(F.explode(F.slice(labels, F.col("first") + 1, F.col("until") - F.col("first"))).alias("period"), "value"), "utilizations")
+    states = value_states(values, ["period"], "value")
+    median = F.kll_sketch_get_quantile_double("state", F.lit(0.5))
+    found = values.join(states.select("period", median.alias("median")), "period").groupBy("period").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") < F.col("median")).alias("below"), F.count_if(F.col("value") <= F.col("median")).alias("upto"))
+    half, slack = F.col("n") * 0.5, F.col("n") * RANK_ERROR + 1
+    return found.select("period", "n", ((F.col("below") <= half + slack) & (F.col("upto") >= half - slack)).cast("int").alias("median_within_error"))
+
+
 @query
 def utilization_histogram(f):
     return drift.utilization_histogram(f.month_end_transactions, f.stored_accounts)
@@ -451,9 +583,13 @@ def portfolio_kpis(f):
 
 # --- runs ---------------------------------------------------------------------------------------
 
+def _new_warehouse(f: Frames) -> Warehouse:
+    return Warehouse(f.spark, f"{work_dir(f.spark)}/warehouse-{uuid.uuid4().hex}")
+
+
 def _warehouse_run(f: Frames) -> Warehouse:
     """Stage the views as one load and run the month on it."""
-    warehouse = Warehouse(f.spark, f"{work_dir(f.spark)}/warehouse-{uuid.uuid4().hex}")
+    warehouse = _new_warehouse(f)
     load = warehouse.open_batch("STAGE_VIEWS", RUN_1)
     for table, df in f.staging.items():
         load.write(table, df.withColumn("source_system", F.lit("SUPPLIED")), "load1")

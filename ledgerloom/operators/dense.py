@@ -103,8 +103,42 @@ def order_statistics(df: DataFrame, value: str, ranks_for) -> tuple[int, dict[in
     return total, found
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> list[float]:
-    """Linear-interpolated quantiles, rounding like the usual array libraries do."""
+def grouped_order_statistics(df: DataFrame, group: str, value: str, ranks_for) -> dict[str, tuple[int, dict[int, float]]]:
+    """``order_statistics`` of every group at once: one write and two collects however many groups there are.
+
+    To the driver go one count per group and range, and the values at the wanted ranks. Groups
+    without values are missing.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
+    ranged = materialize(
+        counted.repartitionByRange(group, value).withColumn("_part", F.spark_partition_id()), "values")
+    sizes: dict[str, list[tuple[int, int]]] = {}
+    for r in ranged.groupBy(group, "_part").agg(F.sum("n").alias("n")).collect():
+        sizes.setdefault(r[group], []).append((r["_part"], r.n))
+    totals = {g: sum(n for _, n in parts) for g, parts in sizes.items()}
+    wanted: dict[tuple[str, int, int], list[int]] = {}  # (group, range, rank within it) -> ranks
+    for g, parts in sizes.items():
+        for (part, offset), (_, n) in zip(_running_offsets(parts), sorted(parts)):
+            for rank in ranks_for(totals[g]):
+                if offset <= rank < offset + n:
+                    wanted.setdefault((g, part, rank - offset), []).append(rank)
+    if not wanted:
+        return {}
+    upto = F.sum("n").over(Window.partitionBy(group, "_part").orderBy(value)
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hit = F.lit(False)
+    for g, part, local in wanted:
+        hit = hit | ((F.col(group) == g) & (F.col("_part") == part) & (F.col("_upto") > local) & (F.col("_upto") - F.col("n") <= local))
+    rows = (ranged.where(F.col("_part").isin(sorted({p for _, p, _ in wanted}))).withColumn("_upto", upto).where(hit)
+            .select(group, "_part", value, "n", "_upto").collect())
+    found: dict[str, tuple[int, dict[int, float]]] = {g: (n, {}) for g, n in totals.items()}
+    for (g, part, local), ranks in wanted.items():
+        at = next(float(r[value]) for r in rows if r[group] == g and r["_part"] == part and r["_upto"] - r["n"] <= local < r["_upto"])
+        found[g][1].update(dict.fromkeys(ranks, at))
+    return found
+
+
+def _quantile_ranks(probabilities: list[float]):
     def ranks(n: int) -> set[int]:
         out = set()
         for p in probabilities:
@@ -112,9 +146,10 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> li
             out |= {low, min(low + 1, n - 1)}
         return out
 
-    n, at = order_statistics(df, value, ranks)
-    if not n:
-        return []
+    return ranks
+
+
+def _interpolated(n: int, at: dict[int, float], probabilities: list[float]) -> list[float]:
     result = []
     for p in probabilities:
         position = (n - 1) * p
@@ -122,3 +157,15 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> li
         a, b, share = at[low], at[min(low + 1, n - 1)], position - low
         result.append(b - (b - a) * (1 - share) if share >= 0.5 else a + (b - a) * share)
     return result
+
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> list[float]:
+    """Linear-interpolated quantiles, rounding like the usual array libraries do."""
+    n, at = order_statistics(df, value, _quantile_ranks(probabilities))
+    return _interpolated(n, at, probabilities) if n else []
+
+
+def grouped_quantiles(df: DataFrame, group: str, value: str, probabilities: list[float]) -> dict[str, list[float]]:
+    """``exact_quantiles`` of every group; groups without values are missing."""
+    found = grouped_order_statistics(df, group, value, _quantile_ranks(probabilities))
+    return {g: _interpolated(n, at, probabilities) for g, (n, at) in found.items()}

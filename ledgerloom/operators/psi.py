@@ -8,22 +8,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.dense import exact_quantiles
+from ledgerloom.operators.dense import exact_quantiles, grouped_quantiles
 
 FLOOR = 1e-4  # fixed value: smallest share a class may have
 DRIFT_THRESHOLD = 0.25
 
 
-def quantile_edges(reference: DataFrame, value: str, bins: int = 10, unique: bool = True) -> list[float]:
-    """Class edges at the reference quantiles, open at both ends. ``unique`` merges equal edges."""
-    steps = [i * (1.0 / bins) for i in range(bins)] + [1.0]
-    edges = exact_quantiles(reference, value, steps)
+def _steps(bins: int) -> list[float]:
+    return [i * (1.0 / bins) for i in range(bins)] + [1.0]
+
+
+def _open_ended(edges: list[float], unique: bool) -> list[float]:
     if not edges:
         return []
     edges[0], edges[-1] = -math.inf, math.inf
     return sorted(set(edges)) if unique else edges
 
 
+def quantile_edges(reference: DataFrame, value: str, bins: int = 10, unique: bool = True) -> list[float]:
+    """Class edges at the reference quantiles, open at both ends. ``unique`` merges equal edges."""
+    return _open_ended(exact_quantiles(reference, value, _steps(bins)), unique)
+
+
+def grouped_edges(reference: DataFrame, group: str, value: str, bins: int = 10, unique: bool = True) -> dict[str, list[float]]:
+    """``quantile_edges`` of every group, searched together; groups without values are missing."""
+    return {g: _open_ended(edges, unique) for g, edges in grouped_quantiles(reference, group, value, _steps(bins)).items()}
+
+
 def edge_class(value: Column, edges: list[float]) -> Column:
     """Zero-based class of ``[edges[i], edges[i+1])``; repeated edges leave empty classes."""
     tests = [(value >= F.lit(e)).cast("int") for e in edges[1:-1]]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.risk import drift_status, quarter_label, utilization
 from ledgerloom.operators.histogram import equal_width_class
-from ledgerloom.operators.psi import DRIFT_THRESHOLD, edge_class, psi_by_period, quantile_edges, tile_psi
+from ledgerloom.operators.psi import DRIFT_THRESHOLD, edge_class, grouped_edges, psi_by_period, tile_psi
 from ledgerloom.plans.facts import account_spells, account_state, period_index, union_all, until_next
 from ledgerloom.session import materialize
 from ledgerloom.sources.calendar import date_to_key
@@ -126,13 +126,13 @@ def quantile_psi(current: dict[str, DataFrame], periods: list[str], reference: d
                  unique_edges: bool = True, min_values: int = 10) -> DataFrame:
     """(feature, period, psi) of every period against its feature's reference values.
 
-    The reference quantiles are found first and reach the counting plan as literals, so values
-    are classed without a join.
+    The reference quantiles of all features are found first, together, and reach the counting plan as
+    literals, so values are classed without a join.
     """
-    edges, counts = {}, []
+    named = union_all([reference[f].select(F.lit(f).alias("feature"), "value") for f in current])
+    found, edges, counts = grouped_edges(named, "feature", "value", bins, unique_edges), {}, []
     for feature, spells in current.items():
-        found = quantile_edges(reference[feature], "value", bins, unique_edges)
-        edges[feature] = found or [float("-inf"), float("inf")]
+        edges[feature] = found.get(feature) or [float("-inf"), float("inf")]
         class_of = edge_class(F.col("value"), edges[feature])
         for frame, labels in ((spells, periods), (reference[feature], [REFERENCE])):
             counts.append(class_counts_by_period(frame, class_of, labels).select(

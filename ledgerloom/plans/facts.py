@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.risk import event_type, ifrs9_stage, internal_rating, signed_amount
+from ledgerloom.functions.text import folded
+from ledgerloom.operators.temporal import latest_known, valid_at
 from ledgerloom.sources.calendar import date_to_key
 
 _BALANCE = "decimal(18,2)"
@@ -71,13 +73,16 @@ def baseline_scenario(scenarios: DataFrame) -> DataFrame:
             .limit(1).select("scenario_key"))
 
 
-def _account_keys(accounts: DataFrame, dim_customer: DataFrame, products: DataFrame, branches: DataFrame) -> DataFrame:
-    """Accounts with their dimension keys; those of an unknown product, branch or customer drop out."""
-    current = dim_customer.where("is_current").select("customer_source_id", "customer_key")
-    return (accounts.select("account_source_id", "customer_source_id", "product_code", "branch_code", "credit_limit")
-            .join(products.select("product_code", "product_key"), "product_code")
-            .join(branches.select("branch_code", "branch_key"), "branch_code")
-            .join(current, "customer_source_id"))
+def _account_keys(accounts: DataFrame, dim_customer: DataFrame, products: DataFrame, branches: DataFrame,
+                  collation: str | None = None) -> DataFrame:
+    """Accounts with their dimension keys; those of an unknown product, branch or customer drop out. Codes are compared
+    byte by byte, or under ``collation``."""
+    out = accounts.select("account_source_id", "customer_source_id", "product_code", "branch_code", "credit_limit")
+    for dimension, code, key in ((products, "product_code", "product_key"), (branches, "branch_code", "branch_key"),
+                                 (dim_customer.where("is_current"), "customer_source_id", "customer_key")):
+        known = dimension.select(folded(F.col(code), collation).alias("_code"), key)
+        out = out.join(known, folded(F.col(code), collation) == F.col("_code")).drop("_code")
+    return out
 
 
 def _exposure_columns(df: DataFrame, date_key: Column, scenario_key: int, batch_id: int) -> DataFrame:
@@ -92,11 +97,11 @@ def _exposure_columns(df: DataFrame, date_key: Column, scenario_key: int, batch_
 
 def fact_exposure(accounts: DataFrame, transactions: DataFrame, dim_customer: DataFrame,
                   products: DataFrame, branches: DataFrame, scenario_key: int, as_of: date,
-                  batch_id: int, calendar_start: date | None = None) -> DataFrame:
+                  batch_id: int, calendar_start: date | None = None, collation: str | None = None) -> DataFrame:
     """One exposure row per account at one date. Limits and the customer version are those
     current now. ``account_source_id`` is kept as a degenerate dimension."""
     state = account_state(transactions, as_of, calendar_start)
-    joined = _account_keys(accounts, dim_customer, products, branches).join(state, "account_source_id", "left")
+    joined = _account_keys(accounts, dim_customer, products, branches, collation).join(state, "account_source_id", "left")
     return _exposure_columns(joined, F.lit(date_to_key(as_of)), scenario_key, batch_id)
 
 
@@ -113,6 +118,29 @@ def exposure_history(accounts: DataFrame, transactions: DataFrame, dim_customer:
     return _exposure_columns(dated, F.col("day"), scenario_key, batch_id)
 
 
+def point_in_time_exposure(exposures: DataFrame, accounts: DataFrame, dim_customer: DataFrame, versions: DataFrame,
+                           columns: list[str], opened_only: bool = False) -> DataFrame:
+    """Exposure rows with the customer version that was valid at their own date, not the one current now.
+
+    ``versions`` has customer_source_id, effective_date, expiry_date (exclusive, NULL if open) and ``columns``, which are
+    NULL before a customer's first version. ``opened`` tells whether the account existed at the date; ``opened_only`` leaves
+    out rows of accounts opened later.
+    """
+    owner = dim_customer.select("customer_key", "customer_source_id")
+    opening = accounts.select("account_source_id", "opening_date")
+    rows = (exposures.join(owner, "customer_key").join(opening, "account_source_id")
+            .withColumn("day", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+            .withColumn("opened", F.col("opening_date") <= F.col("day")))
+    found = valid_at(rows.where("opened") if opened_only else rows, versions, ["customer_source_id"], "day", "effective_date", "expiry_date", columns)
+    return found.select(*exposures.columns, "customer_source_id", "opened", *columns)
+
+
+def transaction_scores(transactions: DataFrame, accounts: DataFrame, bureau: DataFrame) -> DataFrame:
+    """Every transaction with the newest bureau score its customer had at the transaction's own date."""
+    owned = transactions.join(accounts.select("account_source_id", "customer_source_id"), "account_source_id")
+    return latest_known(owned, bureau, ["customer_source_id"], "transaction_date", "report_date", ["bureau_score", "report_date"])
+
+
 def _of_batch(batch_id: int | None) -> Column:
     return F.lit(True) if batch_id is None else F.col("batch_id") == batch_id
 

@@ -42,7 +42,7 @@ def staging_schema(table: str) -> T.StructType:
     return T.StructType(file_schema(table).fields + _ddl(meta).fields)
 
 
-_SIMPLE = {"string": T.StringType, "int": T.IntegerType, "bigint": T.LongType, "double": T.DoubleType,
+_SIMPLE = {"binary": T.BinaryType, "string": T.StringType, "int": T.IntegerType, "bigint": T.LongType, "double": T.DoubleType,
            "boolean": T.BooleanType, "date": T.DateType, "timestamp": T.TimestampType}
 
 
@@ -129,6 +129,7 @@ GOVERNANCE = {
     "drift_metrics": "batch_id bigint, feature_name string, reference_period string, "
                      "current_period string, reference_mean double, current_mean double, "
                      "population_stability_index double, drift_flag int, computed_at timestamp",
+    "drift_states": "date_key int, feature_name string, rows bigint, state binary, batch_id bigint",
 }
 
 
