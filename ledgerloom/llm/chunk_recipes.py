@@ -3,9 +3,9 @@
 1. Inside tasks every text is cut where a hash of the last eight bytes ends in zeros, so equal passages give equal chunks
    wherever they stand. A document's *recipe* is the list of its chunks' digests and sizes, in order: 20 bytes for each
    few kilobytes of text.
-2. Chunks are brought together once and kept once: (digest, bytes) pairs are made distinct, before the shuffle too. A digest
-   with one content is verified; one with several is not an identifier, and recipes are rewritten with the bytes of those
-   chunks in its place. (With 128-bit digests this does not happen by chance; shorter ones are for tests.)
+2. Digests are verified by a second, independent one, the chunk's SHA-256: both are brought together, and their bytes stay where
+   they are. A digest with one proof names one content. Should a digest have several, it is no identifier, and the recipes are
+   made of the proofs instead. (With 128-bit digests this does not happen by chance; shorter ones are for tests.)
 3. Documents with equal recipes have equal texts. From here on only recipes move: one aggregation (which combines before
    the shuffle, so a recipe shared by a third of all rows costs one row per task) and one join.
 
@@ -47,27 +47,32 @@ def chunk_ends(data: bytes, least: int = LEAST, mean_bits: int = MEAN_BITS, most
     return [*ends, size]
 
 
-def _pieces(data: bytes, digest_bytes: int) -> Iterator[tuple[bytes, bytes]]:
+def _pieces(data: bytes) -> Iterator[bytes]:
     at = 0
     for end in chunk_ends(data):
-        piece = data[at:end]
-        yield xxhash.xxh3_128_digest(piece)[:digest_bytes] + len(piece).to_bytes(4, "little"), piece
+        yield data[at:end]
         at = end
 
 
+def _digest(piece: bytes, digest_bytes: int) -> bytes:
+    return xxhash.xxh3_128_digest(piece)[:digest_bytes] + len(piece).to_bytes(4, "little")
+
+
 def _as_bytes(value: pa.Scalar) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""
 
 
-def recipes(docs: DataFrame, digest_bytes: int = 16, ambiguous: frozenset[bytes] = frozenset()) -> DataFrame:
-    """(doc_id, text_sha256, recipe) of every row."""
+def recipes(docs: DataFrame, digest_bytes: int = 16, proofs: bool = False) -> DataFrame:
+    """(doc_id, text_sha256, recipe) of every row; the recipe is made of digests, or of their proofs."""
+    name = (lambda piece: hashlib.sha256(piece).digest()) if proofs else (lambda piece: _digest(piece, digest_bytes))
+
     def build(batches):
         for batch in batches:
             sha, recipe = [], []
             for value in batch.column(1):
                 data = _as_bytes(value)
                 sha.append(hashlib.sha256(data).hexdigest())
-                recipe.append(b"".join(digest + (piece if digest in ambiguous else b"") for digest, piece in _pieces(data, digest_bytes)))
+                recipe.append(b"".join(map(name, _pieces(data))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(recipe, pa.binary())],
                                              names=["doc_id", "text_sha256", "recipe"])
 
@@ -78,18 +83,17 @@ def ambiguous_digests(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     """Digests that stand for more than one content."""
     def build(batches):
         for batch in batches:
-            for value in batch.column(0):
-                rows = list(_pieces(_as_bytes(value), digest_bytes))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)], names=["digest", "piece"])
+            found = [(_digest(piece, digest_bytes), hashlib.sha256(piece).digest()) for value in batch.column(0) for piece in _pieces(_as_bytes(value))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)] or [pa.array([], pa.binary())] * 2, names=["digest", "proof"])
 
-    chunks = docs.select("text").mapInArrow(build, "digest binary, piece binary").distinct()
-    return chunks.groupBy("digest").agg(F.count("*").alias("contents")).where("contents > 1").select("digest")
+    chunks = docs.select("text").mapInArrow(build, "digest binary, proof binary")
+    return chunks.groupBy("digest").agg(F.min("proof").alias("least"), F.max("proof").alias("most")).where("least <> most").select("digest")
 
 
 def dedup(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs`` (doc_id, text)."""
-    unclear = frozenset(bytes(r[0]) for r in ambiguous_digests(docs, digest_bytes).collect())
-    listed = materialize(recipes(docs, digest_bytes, unclear).withColumn("row", F.monotonically_increasing_id()), "recipes")
+    proofs = not ambiguous_digests(docs, digest_bytes).isEmpty()
+    listed = materialize(recipes(docs, digest_bytes, proofs).withColumn("row", F.monotonically_increasing_id()), "recipes")
     groups = listed.groupBy("recipe").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
     return listed.join(groups, "recipe").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
