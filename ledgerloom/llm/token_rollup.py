@@ -44,8 +44,12 @@ class Rollup:
 
     def prepare(self, batch: str, changes: DataFrame) -> str:
         """Write the sums of a batch where no reader looks, and return the attempt's name."""
+        return self.prepare_signed(batch, signed(changes))
+
+    def prepare_signed(self, batch: str, deltas: DataFrame) -> str:
+        """``prepare`` for changes that are signed already, and perhaps summed (source, lang, tokenizer, docs, tokens)."""
         attempt = uuid.uuid4().hex
-        sums = signed(changes).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        sums = deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         sums.withColumn("batch", F.lit(batch)).write.parquet(f"{self.path}/data/{attempt}")
         return attempt
 
@@ -87,7 +91,8 @@ def _committed(docs: DataFrame, path: str, tokenizer: str, estimate: str) -> Rol
 
     ``load`` inserts every document under both counters with an estimate of a token per four characters; ``count`` revises the
     tokenizer's counts to the real ones, and is committed twice; ``copies`` deletes every document whose text another
-    one with a larger doc_id has.
+    one with a larger doc_id has: as all rows of a text less its last one, both summed per text, source and language first, so
+    that a text of many copies is a few rows.
     """
     counted = token_counts(docs.select("doc_id", "text", "source", "lang"))
     counted = materialize(counted.select(
@@ -101,10 +106,13 @@ def _committed(docs: DataFrame, path: str, tokenizer: str, estimate: str) -> Rol
                               F.col("estimate").alias("tokens_before"))
     for _ in range(2):
         rollup.commit("count", revision)
-    stay = counted.groupBy("sha").agg(F.max(F.struct("doc_id", "row")).alias("keep"))
-    gone = both.join(stay, "sha").where(F.col("row") != F.col("keep.row"))
-    rollup.commit("copies", gone.select(F.lit("delete").alias("change"), *KEYS, none.alias("tokens"),
-                                        F.when(F.col("tokenizer") == tokenizer, F.col("tokens")).otherwise(F.col("estimate")).alias("tokens_before")))
+    texts = materialize(counted.groupBy("sha", "source", "lang").agg(
+        F.count("*").alias("n"), F.max("tokens").alias("tokens"), F.max("estimate").alias("estimate"), F.max(F.struct("doc_id", "row")).alias("last")), "texts")
+    last = texts.groupBy("sha").agg(F.max(F.struct("last", "source", "lang", "tokens", "estimate")).alias("k")).select("k.*")
+    counters = lambda n: F.array(*(F.struct(F.lit(name).alias("tokenizer"), n.alias("docs"), (n * F.col(c)).alias("tokens"))
+                                   for name, c in ((tokenizer, "tokens"), (estimate, "estimate"))))
+    deltas = texts.select("source", "lang", F.inline(counters(-F.col("n")))).union(last.select("source", "lang", F.inline(counters(F.lit(1).cast("long")))))
+    rollup.publish("copies", rollup.prepare_signed("copies", deltas))
     return rollup
 
 
