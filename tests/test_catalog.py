@@ -11,7 +11,8 @@ from ledgerloom.sources.testviews import TABLES
 
 SF = "/root/testdata/sf0.001"
 FAST = ["quarantine_payload", "clean_transactions", "macro_cleanse", "row_conservation", "surrogate_keys", "fact_exposure",
-        "risk_features", "group_hierarchy", "psi_ntile", "incremental_ingest"]
+        "risk_features", "group_hierarchy", "psi_ntile", "incremental_ingest", "exposure_point_in_time", "transaction_score_asof",
+        "quarantine_replay", "unreached_nodes"]
 NAMES = list(REGISTRY) if os.environ.get("ALL_QUERIES") else FAST
 
 
@@ -41,7 +42,7 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", ["clean_transactions", "fact_exposure_history", "risk_features", "psi_ntile", "group_exposure_view",
-                                  "portfolio_kpis", "scd2_two_batches"])
+                                  "portfolio_kpis", "scd2_two_batches", "exposure_point_in_time", "transaction_score_asof", "sql_stage_exposure"])
 def test_plans_stay_distributed(spark, plan_text, name):
     text = plan_text(contract.queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
