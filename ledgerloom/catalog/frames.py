@@ -79,6 +79,11 @@ class Frames:
         """From here on customers and accounts are built once and read back by every user."""
         self.sharing = True
 
+    def keep(self, name: str) -> DataFrame:
+        """Write one layer, and nothing below it, and read it back from here on."""
+        self.__dict__[name] = materialize(getattr(self, name), name)
+        return self.__dict__[name]
+
     @cached_property
     def stored_accounts(self) -> DataFrame:
         self.share()

@@ -345,7 +345,7 @@ def surrogate_keys(f):
 def flagship_stage_exposure(f):
     """Exposure and accounts per stage at the as-of date, from raw rows to the figure."""
     dpd = F.coalesce("dpd", F.lit(0))
-    book = (f.stored_accounts.select("account_source_id", "product_code", "credit_limit")
+    book = (f.keep("accounts").select("account_source_id", "product_code", "credit_limit")
             .join(f.products.select("product_code"), "product_code").join(f.state(), "account_source_id", "left"))
     return (book.groupBy(ifrs9_stage(dpd).alias("ifrs9_stage"))
             .agg(F.count("*").alias("n_accounts"),
