@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.presence import left_after
 from ledgerloom.session import materialize
 
 LEAST, MEAN_BITS, MOST = 1024, 12, 16384
@@ -102,10 +103,10 @@ def dedup(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without exact copies, all columns kept; equal rows with one doc_id count as copies too."""
     own = lambda doc_id, digest: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
-    stay = dedup(docs).where("kept").select(own(F.col("doc_id"), F.col("text_sha256")).alias("__own"))
+    verdicts = materialize(dedup(docs).select(own(F.col("doc_id"), F.col("text_sha256")).alias("__own"), "kept"), "exact-verdicts")
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     marked = docs.select(F.struct("*").alias("__row"), own(F.col("doc_id"), digest).alias("__own"))
-    return marked.join(stay, "__own", "left_semi").dropDuplicates(["__own"]).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    return left_after(marked, verdicts).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
 
 
 ORACLE = """

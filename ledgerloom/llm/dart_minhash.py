@@ -10,7 +10,8 @@ is 0.8 or more, and classes are connected components of links.
 2. Bands of rows of the signature are joined: equal bands hang every text on the smallest of its bucket, and components of
    these unverified edges are the *candidate clusters*. At similarity 0.8, 32 bands of 6 miss 1 pair in 17,000. Texts with
    equal shingle sets are one node throughout, so copies are never paired with one another.
-3. Texts of clusters of two or more move once, as shingle sets. A cluster is cut into blocks of a few hundred texts, and a few pivots
+3. Texts of clusters of two or more move once, as shingle sets; a bit map of their keys (``presence``) keeps the other texts where
+   they are. A cluster is cut into blocks of a few hundred texts, and a few pivots
    of the cluster stand in each of them. In a block, pairs whose signatures agree on enough coordinates (four standard deviations
    below 0.8) are verified on the whole shingle sets, unless they are connected already; only edges of a spanning forest
    leave the task. A large group of near copies is one class after this pass, whose work grows with the group.
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.presence import bit_map, flagged, left_after
 from ledgerloom.session import materialize
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
@@ -218,8 +220,10 @@ def _members(listed: DataFrame, block: int) -> DataFrame:
 
 def _sketches(docs: DataFrame, members: DataFrame) -> DataFrame:
     """(fp, root, blocks, own, pivot, sig, shingles) of every member; its text is read and moved once."""
+    known = bit_map(members, ["__id", "__digest"], "near-member-bits")
+    texts = flagged(_with_digest(docs), ["doc_id", "digest"], known, "__member").where("__member").drop("__member")
     # The members grow with the corpus, so they are merged with it at every size and never broadcast.
-    texts = _with_digest(docs).join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
+    texts = texts.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,8 +297,7 @@ def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
     Rows without words are classes of their own and all stay; of equal rows with words (doc_id and text) one stays.
     """
     own = lambda doc_id, digest: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), digest.cast("string"))
-    stay = near_classes(docs, similarity).where("kept").select(own(F.col("doc_id"), F.col("digest")).alias("__own"))
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    marked = docs.select(F.struct("*").alias("__row"), own(F.col("doc_id"), F.xxhash64("text")).alias("__own"), worded.alias("__worded"))
-    chosen = marked.where("__worded").join(stay, "__own", "left_semi").dropDuplicates(["__own"])
-    return chosen.unionByName(marked.where("NOT __worded")).select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    verdicts = materialize(near_classes(docs, similarity).select(own(F.col("doc_id"), F.col("digest")).alias("__own"), "kept"), "near-verdicts")
+    marked = docs.select(F.struct("*").alias("__row"), own(F.col("doc_id"), F.xxhash64("text")).alias("__own"))
+    stay = left_after(marked, verdicts, F.coalesce(F.col("__row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return stay.select(*(F.col("__row")[c].alias(c) for c in docs.columns))
