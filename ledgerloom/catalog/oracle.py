@@ -567,6 +567,19 @@ _FINAL = {
             "load_fact_credit_event": "SELECT count(*) FROM events_fact",
             "load_fact_credit_rating_history": "SELECT count(*) FROM ratings",
             "compute_risk_features": _FEATURE_ROWS}.items()),
+    "verified_run": """SELECT CAST(2 AS BIGINT) AS batch_id, 'SUCCESS' AS status, count(*) AS rows_ingested,
+          count(*) || ' rows' AS verdict FROM stg_macro_indicators
+        UNION ALL SELECT 3, 'SUCCESS', 0, 'run 3 succeeded but produced no rows'""",
+    "consumed_loads": """SELECT batch_id, count(*) AS n, max(row_id) AS last_row, 1 AS run, 2 AS open_loads FROM stg_transactions GROUP BY batch_id
+        UNION ALL SELECT batch_id, count(*), max(row_id), 2, 1 FROM stg_transactions WHERE batch_id = 2 GROUP BY batch_id""",
+    "published_group_view": """SELECT hierarchy_level, date_key, count(*) AS accounts, CAST(sum(exposure_rows) AS BIGINT) AS exposure_rows,
+          CAST(sum(outstanding_balance) AS DECIMAL(28,2)) AS outstanding_balance
+        FROM (SELECT root_group_id, account_source_id, hierarchy_level, date_key, count(outstanding_balance) AS exposure_rows,
+            sum(outstanding_balance) AS outstanding_balance FROM pairs GROUP BY ALL) v GROUP BY hierarchy_level, date_key""",
+    "report_document": "SELECT 'segments' AS section, CAST(NULL AS INT) AS position, segment AS label, count(*) AS n FROM customers GROUP BY segment "
+                       "UNION ALL SELECT 'scores', ordinal, label, n FROM (" + _class_counts(
+                           "latest_score", "bureau_score", [0, 500, 600, 700, 750, 1000],
+                           ["0-500", "500-600", "600-700", "700-750", "750+"]) + ") s",
     "incremental_ingest": """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total_value
         FROM events GROUP BY 1, 2""",
 }

@@ -21,7 +21,7 @@ from ledgerloom.operators.hierarchy import unreached_nodes as find_unreached
 from ledgerloom.operators.rules import rule_report
 from ledgerloom.operators.upsert import upsert
 from ledgerloom.operators.validation import REASON, quarantine_rows
-from ledgerloom.plans import drift, facts, portfolio, quality
+from ledgerloom.plans import drift, facts, portfolio, published, quality
 from ledgerloom.plans.cleanse import CLEANSERS, classify, converted_keys, staged_columns, typed, valid_values
 from ledgerloom.plans.customer_dim import band_history, dimension_source, latest_score, merge_scd2
 from ledgerloom.plans.drift_states import RANK_ERROR, value_states
@@ -29,15 +29,16 @@ from ledgerloom.plans.facts import ecl_inputs, point_in_time_exposure, transacti
 from ledgerloom.plans.features import (bureau_features, customer_risk_features, exposure_tail, missed_payments,
                                        moving_windows, utilization_by_date)
 from ledgerloom.plans.groups import group_exposure, group_exposure_rollup
-from ledgerloom.plans.monthly_run import run_full_etl
+from ledgerloom.plans.monthly_run import run_full_etl, verify_run
 from ledgerloom.plans.replay import judged_again
 from ledgerloom.schemas import STAGING_COLUMNS, literal_table, quality_rules
 from ledgerloom.session import materialize, work_dir
 from ledgerloom.sources.calendar import date_to_key
+from ledgerloom.sources.reports import write_json_document
 from ledgerloom.sources.sql_surface import register_sql
 from ledgerloom.sources.staging import staging_lines
 from ledgerloom.sources.testviews import TABLES, staged_view
-from ledgerloom.sources.warehouse import Warehouse, month_slot
+from ledgerloom.sources.warehouse import Warehouse, bucket_slot, month_slot
 from ledgerloom.streaming.ingest import consume_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -610,6 +611,72 @@ def step_log(f):
     return _warehouse_run(f).step_log().select("step_name", "row_count", "status")
 
 
+@query
+def verified_run(f):
+    """The macro figures cleansed as a run and verified, twice: the second run finds nothing new, which verification refuses."""
+    warehouse = _new_warehouse(f)
+    load = warehouse.open_batch("STAGE_MACRO", RUN_1)
+    load.write("stg_macro_indicators", f.staged("stg_macro_indicators").withColumn("source_system", F.lit("SUPPLIED")), "load1")
+    load.publish()
+    load.close("SUCCESS")
+    verdicts = {}
+    for _ in range(2):
+        batch_id = published.cleanse_macro(warehouse, RUN_1)
+        try:
+            verdicts[batch_id] = f"{verify_run(warehouse, 'MACRO_CLEANSE')['rows_ingested']} rows"
+        except RuntimeError as refused:
+            verdicts[batch_id] = str(refused)
+    verdict = F.coalesce(*[F.when(F.col("batch_id") == b, F.lit(v)) for b, v in verdicts.items()])
+    runs = warehouse.run_log().where(F.col("pipeline_name") == "MACRO_CLEANSE")
+    return runs.select("batch_id", "status", "rows_ingested", verdict.alias("verdict"))
+
+
+@query
+def consumed_loads(f):
+    """The movements staged as two loads and consumed one after the other: what each of three runs finds unprocessed."""
+    warehouse = _new_warehouse(f)
+    load = warehouse.open_batch("STAGE_LOADS", RUN_1)
+    staged = f.staged("stg_transactions").withColumn("source_system", F.lit("SUPPLIED"))
+    load.write("stg_transactions", staged, F.concat(F.lit("load"), F.col("batch_id").cast("string")))
+    load.publish()
+    found = []
+    for run, mine in enumerate((["load1"], ["load2"], [])):
+        batch = warehouse.open_batch("CONSUME", RUN_1)
+        rows, slots = batch.unprocessed("stg_transactions")
+        found.append(rows.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("row_id").alias("last_row"))
+                     .withColumns({"run": F.lit(run + 1), "open_loads": F.lit(len(slots))}))
+        batch.consume("stg_transactions", mine)
+        batch.publish()
+    return facts.union_all(found)
+
+
+@query
+def published_group_view(f):
+    """The group view over published tables, asked in SQL: accounts and exposure by level and date."""
+    warehouse = _new_warehouse(f)
+    batch = warehouse.open_batch("PUBLISH", RUN_1)
+    batch.write("accounts", f.stored_accounts, bucket_slot(["account_source_id"], 4))
+    batch.write("dim_customer", f.dim_customer, bucket_slot(["customer_source_id"], 4))
+    batch.write("fact_exposure", f.exposures(stored=True), F.concat(F.lit("d"), F.col("date_key").cast("string")))
+    batch.publish()
+    published.group_exposure_view(warehouse, "published_groups")
+    return f.spark.sql("""SELECT hierarchy_level, date_key, count(*) AS accounts, cast(sum(exposure_rows) AS bigint) AS exposure_rows,
+        cast(sum(outstanding_balance) AS decimal(28,2)) AS outstanding_balance FROM published_groups GROUP BY hierarchy_level, date_key""")
+
+
+@query
+def report_document(f):
+    """Two distributions written as one JSON document, and the document read back."""
+    home = f"{work_dir(f.spark)}/report-{uuid.uuid4().hex}"
+    write_json_document({"segments": portfolio.segment_distribution(f.customers), "scores": portfolio.score_distribution(f.bureau)}, home)
+    text = f.spark.read.text(home, wholetext=True).where("length(trim(value)) > 0")
+    document = text.select(F.from_json("value", "segments array<struct<segment string, n bigint>>, scores array<struct<label string, n bigint>>").alias("d"))
+    segments = document.select(F.inline("d.segments")).select(F.lit("segments").alias("section"), F.lit(None).cast("int").alias("position"),
+                                                              F.col("segment").alias("label"), "n")
+    scores = document.select(F.posexplode("d.scores").alias("position", "s")).select(F.lit("scores").alias("section"), "position", "s.label", "s.n")
+    return segments.union(scores)
+
+
 @query
 def incremental_ingest(f):
     """The event files consumed as a stream, drained twice; the second time nothing is left."""
