@@ -572,6 +572,13 @@ _FINAL = {
         UNION ALL SELECT 3, 'SUCCESS', 0, 'run 3 succeeded but produced no rows'""",
     "consumed_loads": """SELECT batch_id, count(*) AS n, max(row_id) AS last_row, 1 AS run, 2 AS open_loads FROM stg_transactions GROUP BY batch_id
         UNION ALL SELECT batch_id, count(*), max(row_id), 2, 1 FROM stg_transactions WHERE batch_id = 2 GROUP BY batch_id""",
+    "slots_after_cleanup": """SELECT strftime(transaction_date, 'm%Y%m') AS slot, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS amount,
+          count(*) AS rows, min(transaction_date) AS low, max(transaction_date) AS high,
+          (SELECT count(DISTINCT last_day(transaction_date)) FROM transactions_load_1 WHERE transaction_id IN (
+              SELECT transaction_id FROM transactions_load_2)
+            OR last_day(transaction_date) IN (SELECT last_day(transaction_date) FROM transactions_load_2)) AS replaced
+        FROM (SELECT * FROM transactions_load_2 UNION ALL
+          SELECT * FROM transactions_load_1 WHERE transaction_id NOT IN (SELECT transaction_id FROM transactions_load_2)) GROUP BY slot""",
     "published_group_view": """SELECT hierarchy_level, date_key, count(*) AS accounts, CAST(sum(exposure_rows) AS BIGINT) AS exposure_rows,
           CAST(sum(outstanding_balance) AS DECIMAL(28,2)) AS outstanding_balance
         FROM (SELECT root_group_id, account_source_id, hierarchy_level, date_key, count(outstanding_balance) AS exposure_rows,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.frames import AS_OF, CALENDAR, CALENDAR_START, RUN_1, SNAPSHOTS, Frames
+from ledgerloom.catalog.frames import AS_OF, CALENDAR, CALENDAR_START, RUN_1, RUN_2, SNAPSHOTS, Frames
 from ledgerloom.functions.convert import to_bit, to_date, to_decimal, to_int
 from ledgerloom.functions.risk import ifrs9_stage, score_band
 from ledgerloom.functions.text import SERVER
@@ -650,6 +650,24 @@ def consumed_loads(f):
     return facts.union_all(found)
 
 
+@query
+def slots_after_cleanup(f):
+    """Movements published as two loads, the second merged into the months of the first, then cleaned up: per month what
+    the manifest says, what its files hold, and how many replaced months went."""
+    warehouse = _new_warehouse(f)
+    f.share()
+    staged = f.staged("stg_transactions")
+    for number, run_ts in enumerate((RUN_1, RUN_2), 1):
+        batch = warehouse.open_batch("LOAD", run_ts)
+        rows = cleanse_load(f, staged.where(F.col("batch_id") == number), number)
+        batch.upsert("transactions", rows, ["transaction_id"], month_slot(F.col("transaction_date")), slots_move=True)
+        batch.publish()
+        batch.close("SUCCESS")
+    removed = warehouse.clean(RUN_2 + timedelta(days=1))
+    held = warehouse.read("transactions").groupBy("slot").agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(28,2)").alias("amount"))
+    return held.join(warehouse.slots("transactions"), "slot", "full").withColumn("replaced", F.lit(removed["slots"]))
+
+
 @query
 def published_group_view(f):
     """The group view over published tables, asked in SQL: accounts and exposure by level and date."""

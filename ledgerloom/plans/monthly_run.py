@@ -80,7 +80,7 @@ class MonthlyRun:
         self.quarantined += rejected
         if rejected:
             self.batch.write("quarantine", quarantine_rows(classified.where("rejected"), spec.source, columns, self.batch_id, self.run_ts),
-                             f"run{self.batch_id}-{table}")
+                             f"run{self.batch_id}-{table}", sparse=True)
         if rows > rejected:
             accepted = typed(table, classified.where(~F.col("rejected")), self.batch_id, self.run_ts)
             keys = list(spec.keys)

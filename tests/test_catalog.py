@@ -12,7 +12,8 @@ from ledgerloom.sources.testviews import TABLES
 SF = "/root/testdata/sf0.001"
 FAST = ["quarantine_payload", "clean_transactions", "macro_cleanse", "row_conservation", "surrogate_keys", "fact_exposure",
         "risk_features", "group_hierarchy", "psi_ntile", "incremental_ingest", "exposure_point_in_time", "transaction_score_asof",
-        "quarantine_replay", "unreached_nodes", "verified_run", "consumed_loads", "report_document", "published_group_view"]
+        "quarantine_replay", "unreached_nodes", "verified_run", "consumed_loads", "report_document", "published_group_view",
+        "slots_after_cleanup"]
 NAMES = list(REGISTRY) if os.environ.get("ALL_QUERIES") else FAST
 
 

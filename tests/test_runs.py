@@ -13,7 +13,7 @@ from ledgerloom.plans.monthly_run import MonthlyRun, load_staging, run_full_etl,
 from ledgerloom.plans.published import (build_ecl_inputs, cleanse_macro, contract_report, detect_drift, group_totals,
                                             write_reports)
 from ledgerloom.plans.replay import replay_quarantine
-from ledgerloom.schemas import STAGING_COLUMNS
+from ledgerloom.schemas import STAGING_COLUMNS, table_schema
 from ledgerloom.sources.warehouse import Warehouse
 from ledgerloom.streaming.ingest import ingest_landing
 
@@ -328,3 +328,83 @@ def test_error_rules_block_and_warnings_are_logged(spark, tmp_path):
         rule_report({}, spark.createDataFrame([(9, "stg_customers", "x", "FRESHNESS", "soon", "ERROR", True)], kinds), slots=slots, today=T1.date())
     with pytest.raises(ValueError, match="table.column"):
         rule_report({"stg_customers": wh.read("stg_customers")}, spark.createDataFrame([(9, "stg_customers", "segment", "REFERENTIAL", "x", "ERROR", True)], kinds))
+
+
+def _folders(root):
+    return {str(p.relative_to(root)) for p in root.glob("[!_]*/load=*/slot=*")}
+
+
+def test_clean_up_keeps_what_readers_need(spark, tmp_path):
+    root = tmp_path / "warehouse"
+    wh = Warehouse(spark, str(root))
+    first_load(tmp_path / "in1")
+    second_load(tmp_path / "in2")
+    assert wh.clean(T1) == {"slots": 0, "runs": 0, "files": 0}  # nothing yet
+    load_staging(wh, str(tmp_path / "in1"), T1)
+    run_full_etl(wh, 20260731, "M", T1, buckets=2)
+    early = wh.live()
+    load_staging(wh, str(tmp_path / "in2"), T2)
+    with pytest.raises(ContractError):  # writes, then fails: nothing of it is published
+        run_full_etl(wh, 20260831, "M", T2, calendar=("2018-01-01", "2026-06-30"), buckets=2)
+    lost = wh.open_batch("KILLED", T2)
+    lost.write("accounts", wh.read("accounts"), "b00000")
+    run_full_etl(wh, 20260831, "M", T2, buckets=2)
+
+    live, had = wh.live(), _folders(root)
+    rows = {t: sorted(map(str, wh.read(t).collect())) for t in ("transactions", "customers", "dim_customer", "fact_exposure", "quarantine")}
+    replaced = {s.path for k, s in early.items() if live.get(k) != s and not k[0].startswith("consumed")}
+    assert replaced and wh.clean(T1)["slots"] == 0 and wh.live() == live and _folders(root) == had  # they were replaced at T2
+    wh.read("transactions", early).collect()  # so a reader of the earlier state still finds its files
+
+    assert wh.clean(T2 + timedelta(days=1)) == {"slots": len(replaced), "runs": 1, "files": 1}
+    failed = {f for f in had if f.split("/")[1] == "load=4"}
+    killed = {"accounts/load=5/slot=b00000"}
+    # The failed run ended by the clock, later than the time asked for.
+    assert had - _folders(root) == {p.removeprefix(f"{root}/") for p in replaced} | killed and failed <= _folders(root)
+    assert wh.clean(datetime.now() + timedelta(days=3650)) == {"slots": 0, "runs": 1, "files": 1}
+    assert failed and not failed & _folders(root)
+    assert len(list((root / "_manifest").glob("*.parquet"))) == 1 and wh.live() == live
+    assert rows == {t: sorted(map(str, wh.read(t).collect())) for t in rows}
+    assert {p.removeprefix(f"{root}/") for p in (s.path for (t, _), s in live.items() if not t.startswith("consumed"))} == _folders(root)
+
+    again = run_full_etl(wh, 20260930, "M", T2, buckets=2)  # runs go on after a clean-up, and consume nothing twice
+    assert again == 7 and wh.step_log().where(f"batch_id = {again} and step_name like 'cleanse%' and row_count > 0").count() == 0
+    assert rows["transactions"] == sorted(map(str, wh.read("transactions").collect()))
+
+
+def test_a_clean_up_cut_short_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    for n in (1, 2, 3):
+        batch = wh.open_batch("M", T1 + timedelta(days=n))
+        rows = spark.range(n).select(F.lit("2026-07-01").cast("date").alias("period_date"), F.concat(F.lit("T"), "id").alias("country_code"))
+        empty = [F.lit(None).alias(c) for c in table_schema("macro_indicators").names if c not in rows.columns]
+        batch.write("macro_indicators", rows.select("*", *empty), "b00000")
+        if n == 2:
+            batch.write("macro_indicators", rows.limit(0).select("*", *empty), "b00000")  # emptied
+        batch.publish()
+        batch.close("SUCCESS")
+        assert wh.slots("macro_indicators").count() == (0 if n == 2 else 1)
+    live = wh.live()
+
+    def fails(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("ledgerloom.sources.warehouse.remove", fails)
+        with pytest.raises(OSError):
+            wh.clean(T2)
+    assert wh.live() == live and wh.read("macro_indicators").count() == 3
+    assert wh.clean(T2)["slots"] == 1 and wh.live() == live and wh.read("macro_indicators").count() == 3
+    assert wh.clean(T2) == {"slots": 0, "runs": 0, "files": 1}
+
+
+def test_events_are_read_whole_and_in_the_session_time(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    assert wh.run_log().count() == 0 and wh.step_log().count() == 0
+    wh.log_run(1, "M", T1, "RUNNING", None, None, None)
+    wh.log_run(1, "M", datetime(2026, 7, 31, 1, 2, 3, 456789), "FAILED", 5, 2, "line\nbreak, \"quote\" é")
+    got = wh.run_log().first()
+    assert (got.started_at, got.ended_at, got.status, got.rows_ingested) == (T1, datetime(2026, 7, 31, 1, 2, 3, 456789), "FAILED", 5)
+    assert got.error_message == "line\nbreak, \"quote\" é" and got.rows_quarantined == 2
+    (tmp_path / "warehouse" / "_run_log" / ".half.json").write_text("{")  # an event that is being written
+    assert wh.run_log().count() == 1
