@@ -270,7 +270,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int | None = END_ID,
                       ((0,), histogram.get(0, 0))])
     before = counts.select("part", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n"))
                            .alias("before"))
-    ranked = pieces.join(before, ["part", "length"]).select(
+    # Merged, never broadcast: the counts grow with the partitions. A piece is a few numbers, and a length that many share is many keys.
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
