@@ -97,7 +97,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     places = materialize(parsed.where("host <> ''").select("host", "path").distinct(), "places")
     tokens = places.select("host", "path", F.explode(F.array_distinct(F.split(F.concat("host", F.lit("/"), "path"), _SEPARATORS))).alias("token"))
     rules = rules.withColumn("literals", F.filter("literals", lambda t: t != ""))  # what a split leaves beside non-ASCII letters is no token
-    fetched = tokens.join(indexed(rules, tokens.select("token")), "token").drop("token")
+    # Written, so that Spark knows its size before it plans the join: a list below its broadcast threshold comes to the tokens, which stay.
+    by_token = materialize(indexed(rules, tokens.select("token")), "rules-by-token")
+    fetched = tokens.join(by_token, "token").drop("token")
     matches = F.expr("regexp_like(concat(host, path), pattern)")
     kept = ("name", "pattern", "verdict", "listed", "width")
     # One value for the whole query: as many rules as a user lists without any literal token.
