@@ -81,7 +81,7 @@ def parse(url: Column) -> dict[str, Column]:
 def indexed(rules: DataFrame, tokens: DataFrame) -> DataFrame:
     """The rules with literals, each under the one of them that is rarest among ``tokens`` (token), ties by name."""
     literals = rules.select("name", F.explode("literals").alias("token"))
-    wanted = literals.select("token").distinct()
+    wanted = materialize(literals.select("token").distinct(), "rule-tokens")  # of known size, like the index
     counts = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
     rarest = (literals.join(counts, "token", "left")
               .groupBy("name").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("rarest")))
