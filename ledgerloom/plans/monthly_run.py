@@ -11,7 +11,7 @@ from ledgerloom.operators.contracts import CONTRACTS, ContractError, enforce_fig
 from ledgerloom.operators.measure import Measure
 from ledgerloom.operators.rules import RuleError, is_stale, parent_column, rule_text, with_broken_rules
 from ledgerloom.operators.validation import REASON, quarantine_rows
-from ledgerloom.plans.cleanse import CLEANSERS, classify, staged_columns, typed
+from ledgerloom.plans.cleanse import CLEANSERS, TYPED, classify, staged_columns, typed
 from ledgerloom.plans.customer_dim import dimension_source, initial_dimension, new_versions, split_versions
 from ledgerloom.plans.facts import baseline_scenario, fact_credit_event, fact_exposure, fact_rating_history
 from ledgerloom.plans.features import customer_risk_features, lower_bound
@@ -74,6 +74,10 @@ class MonthlyRun:
         verdict = verdict.withColumn("rejected", F.col(REASON).isNotNull())
         counted = Measure(rows=F.count("*"), rejected=F.count_if("rejected"),
                           **{f"rule_{r.rule_id}": F.count_if(F.array_contains("warned", r.rule_id)) for r in warned})
+        # A rejected row goes on as it was sent and an accepted one as it was converted: neither needs the other form.
+        sent, made = spec.convert().keys(), [c for c in verdict.columns if c.startswith(TYPED)]
+        verdict = verdict.withColumns({**{c: F.when(F.col("rejected"), F.col(c)) for c in sent},
+                                       **{c: F.when(~F.col("rejected"), F.col(c)) for c in made}})
         classified = materialize(counted.on(verdict), f"verdict-{table}", partition_by=["rejected"])
         self._warn([(r, counted[f"rule_{r.rule_id}"]) for r in warned])
         rows, rejected = counted["rows"], counted["rejected"]
