@@ -51,13 +51,12 @@ def valid_at(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, st
     last = F.coalesce(ends - 1, F.lit(2 ** 62))
     listed = ranged.join(cut, known, "left").withColumn("__part", F.explode(F.sequence(stretch(begins), stretch(last))))
     listed = listed.select(*known, "__part", "__start", "__end", "__version")
-    looked = facts.withColumns({f"__f{i}": F.col(k) for i, k in enumerate(keys)}).withColumn("__at", F.col(at))
     cut_of = cut.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(known)], "__parts", "__low", "__width")
-    same = [F.col(f"__f{i}") == F.col(f"__c{i}") for i in range(len(keys))]
-    looked = looked.join(cut_of, same, "left").withColumn("__stretch", stretch(_instant(F.col("__at"))))
-    inside = ((F.col("__stretch") == F.col("__part")) & (F.col("__at") >= F.col("__start"))
-              & (F.col("__end").isNull() | (F.col("__at") < F.col("__end"))))
-    on = [F.col(f"__f{i}") == F.col(k) for i, k in enumerate(known)]
+    same = [F.col(key) == F.col(f"__c{i}") for i, key in enumerate(keys)]
+    looked = facts.join(cut_of, same, "left").withColumn("__stretch", stretch(_instant(F.col(at))))
+    inside = ((F.col("__stretch") == F.col("__part")) & (F.col(at) >= F.col("__start"))
+              & (F.col("__end").isNull() | (F.col(at) < F.col("__end"))))
+    on = [F.col(key) == F.col(k) for key, k in zip(keys, known)]
     joined = looked.join(listed, [*on, inside], how)
     return joined.select(*facts.columns, *[F.col(f"__version.{c}").alias(c) for c in columns])
 

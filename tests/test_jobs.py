@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.plans import drift, portfolio, quality
 from ledgerloom.plans.cleanse import classify, cleanse
 from ledgerloom.plans.customer_dim import initial_dimension, merge_scd2
-from ledgerloom.plans.facts import account_state, ecl_inputs, exposure_history, fact_exposure
+from ledgerloom.plans.facts import (account_state, ecl_inputs, exposure_history, exposure_stretches, exposures_by_date, fact_exposure,
+                                    point_in_time_exposure)
 from ledgerloom.plans.features import balance_features, bureau_features, missed_payments
 from ledgerloom.plans.groups import group_exposure, group_exposure_by_account, group_exposure_rollup
 from ledgerloom.schemas import dim_branch, dim_product, table_schema
@@ -228,3 +229,37 @@ def test_calendar(spark):
     row = days.where("date_key = 20240229").first()
     assert (row.month_name, row.quarter, row.is_reporting_period_end) == ("February", 1, True)
     assert days.schema.names == table_schema("dim_date").names
+
+
+def test_exposures_meet_their_customer_last(spark, plan_text):
+    """Rows are unfolded where a customer's accounts are together, and date by date they are the same rows."""
+    accounts, moves, dim = _book(spark)
+    days = [date(2026, 1, 31), date(2026, 2, 28), date(2026, 3, 31)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exposure_history(accounts, moves, dim, dim_product(spark), dim_branch(spark), 1, days, 9)
+        text = plan_text(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    last_join = next(line for line in text.splitlines() if "Join" in line)
+    assert text.index("Generate") < text.index(last_join) and "customer_source_id" in last_join
+    assert "Exchange" not in text[:text.index("Generate")]
+    stretches = exposure_stretches(accounts, moves, dim, dim_product(spark), dim_branch(spark), days)
+    by_date = exposures_by_date(stretches, 1, days, 9)
+    assert list(by_date) == [20260131, 20260228, 20260331]
+    assert sorted(str(r) for rows in by_date.values() for r in rows.collect()) == sorted(map(str, found.collect()))
+
+
+def test_carried_owner_and_opening_need_no_lookup(spark):
+    accounts, moves, dim = _book(spark)
+    accounts = accounts.withColumn("opening_date", F.lit(date(2026, 2, 1)))
+    versions = spark.createDataFrame([("c1", date(2026, 2, 15), None, "x")], "customer_source_id string, effective_date date, expiry_date date, band string")
+    days = [date(2026, 1, 31), date(2026, 2, 28)]
+    history = lambda *carried: exposure_history(accounts, moves, dim, dim_product(spark), dim_branch(spark), 1, days, 9, None, carried)
+    plain = point_in_time_exposure(history(), accounts, dim, versions, ["band"])
+    carried = point_in_time_exposure(history("customer_source_id", "opening_date"), accounts, dim, versions, ["band"])
+    assert carried.columns == plain.columns
+    assert sorted(map(str, carried.collect())) == sorted(map(str, plain.collect())) and plain.count() == 6
+    joins = [df._jdf.queryExecution().optimizedPlan().toString().count("Join ") for df in (carried, plain)]
+    assert joins[0] == joins[1] - 2
