@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.dense import exact_quantiles, grouped_quantiles
+from ledgerloom.operators.dense import counted_quantiles, exact_quantiles, grouped_counts
 
 FLOOR = 1e-4  # fixed value: smallest share a class may have
 DRIFT_THRESHOLD = 0.25
@@ -32,7 +32,12 @@ def quantile_edges(reference: DataFrame, value: str, bins: int = 10, unique: boo
 
 def grouped_edges(reference: DataFrame, group: str, value: str, bins: int = 10, unique: bool = True) -> dict[str, list[float]]:
     """``quantile_edges`` of every group, searched together; groups without values are missing."""
-    return {g: _open_ended(edges, unique) for g, edges in grouped_quantiles(reference, group, value, _steps(bins)).items()}
+    return counted_edges(grouped_counts(reference, group, value), group, value, bins, unique)
+
+
+def counted_edges(counted: DataFrame, group: str, value: str, bins: int = 10, unique: bool = True) -> dict[str, list[float]]:
+    """``grouped_edges`` from rows already counted by ``grouped_counts``."""
+    return {g: _open_ended(edges, unique) for g, edges in counted_quantiles(counted, group, value, _steps(bins)).items()}
 
 
 def edge_class(value: Column, edges: list[float]) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.risk import drift_status, quarter_label, utilization
+from ledgerloom.operators.dense import grouped_counts
 from ledgerloom.operators.histogram import equal_width_class
-from ledgerloom.operators.psi import DRIFT_THRESHOLD, edge_class, grouped_edges, psi_by_period, tile_psi
+from ledgerloom.operators.psi import DRIFT_THRESHOLD, counted_edges, edge_class, psi_by_period, tile_psi
 from ledgerloom.plans.facts import account_spells, account_state, period_index, union_all, until_next
 from ledgerloom.session import materialize
 from ledgerloom.sources.calendar import date_to_key
@@ -56,9 +57,10 @@ def detect_feature_drift(features: DataFrame, reference: tuple[date, date], curr
 def snapshot_dates(transactions: DataFrame) -> tuple[date, list[tuple[str, date]]]:
     """(first transaction date, [(quarter, last transaction date in it)]), oldest first.
 
-    One row per quarter reaches the driver; the dates become literals of the next plans.
+    One row per quarter reaches the driver; the dates become literals of the next plans. Labels are made for each date, not for
+    each movement.
     """
-    rows = (transactions.groupBy(quarter_label(F.col("transaction_date")).alias("q"))
+    rows = (transactions.select("transaction_date").distinct().groupBy(quarter_label(F.col("transaction_date")).alias("q"))
             .agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi"))
             .orderBy("hi").collect())
     return rows[0]["lo"], [(r["q"], r["hi"]) for r in rows]
@@ -127,16 +129,19 @@ def quantile_psi(current: dict[str, DataFrame], periods: list[str], reference: d
     """(feature, period, psi) of every period against its feature's reference values.
 
     The reference quantiles of all features are found first, together, and reach the counting plan as
-    literals, so values are classed without a join.
+    literals, so values are classed without a join. Reference values are counted once, by value: the quantiles and the
+    reference's classes both come from those counts.
     """
     named = union_all([reference[f].select(F.lit(f).alias("feature"), "value") for f in current])
-    found, edges, counts = grouped_edges(named, "feature", "value", bins, unique_edges), {}, []
+    values = grouped_counts(named, "feature", "value")
+    found, edges, counts = counted_edges(values, "feature", "value", bins, unique_edges), {}, []
     for feature, spells in current.items():
         edges[feature] = found.get(feature) or [float("-inf"), float("inf")]
         class_of = edge_class(F.col("value"), edges[feature])
-        for frame, labels in ((spells, periods), (reference[feature], [REFERENCE])):
-            counts.append(class_counts_by_period(frame, class_of, labels).select(
-                F.lit(feature).alias("feature"), "period", "bin", "n"))
+        base = (values.where(F.col("feature") == feature).groupBy(class_of.alias("bin")).agg(F.sum("n").alias("n"))
+                .select(F.lit(REFERENCE).alias("period"), "bin", "n"))
+        for counted in (class_counts_by_period(spells, class_of, periods), base):
+            counts.append(counted.select(F.lit(feature).alias("feature"), "period", "bin", "n"))
     return psi_by_period(union_all(counts), edges, REFERENCE, min_values)
 
 

@@ -14,6 +14,7 @@ from ledgerloom.operators.histogram import class_counts, equal_width_class, righ
 from ledgerloom.operators.psi import edge_class, psi_by_period, quantile_edges, tile_psi
 from ledgerloom.operators.rules import range_condition, rule_report
 from ledgerloom.operators.upsert import upsert
+from ledgerloom.plans.drift import quantile_psi
 from ledgerloom.schemas import quality_rules
 
 
@@ -155,6 +156,18 @@ def test_psi_matches_the_array_formula(spark, unique):
     assert got["f", "same"] == 0.0 and got["f", "few"] == 0.0
 
 
+def test_reference_values_are_computed_once(spark, plan_text):
+    """Their classes come from the counts that gave the quantiles: the last plan holds stored counts, not the reference's own rows."""
+    ref, cur = [float(i * 37 % 97) for i in range(400)], [float(i * 11 % 50) for i in range(300)]
+    reference = spark.range(400).select(F.lit(0).alias("first"), F.lit(1).alias("until"), (F.col("id") * 37 % 97).cast("double").alias("value"))
+    rows = [(0, 2, v) for v in cur[:200]] + [(1, 2, v) for v in cur[200:]]
+    current = spark.createDataFrame(rows, "first int, until int, value double")
+    found = quantile_psi({"f": current, "unmeasured": current}, ["a", "b"], {"f": reference, "unmeasured": reference.where("id < 0")})
+    assert "Range (" in plan_text(reference) and "Range (" not in plan_text(found)
+    got = {(r.feature, r.period): r.psi for r in found.collect()}
+    assert got == {("f", "a"): pytest.approx(_numpy_psi(ref, cur[:200]), abs=1e-12), ("f", "b"): pytest.approx(_numpy_psi(ref, cur), abs=1e-12)}
+
+
 @pytest.mark.parametrize("ref_n,cur_n", [(1003, 57), (10, 10), (7, 25), (0, 5), (3, 2)])
 def test_tile_psi_equals_tiles_from_the_window_function(spark, ref_n, cur_n):
     def sizes(n):
