@@ -161,14 +161,34 @@ def tails(distinct: DataFrame, plan: dict[int, tuple[int, float, int]]) -> DataF
         project, "row long, digest binary, copies long, size int, bundled int, vector binary, codes binary, tails array<int>, at array<float>")
 
 
-def _bits(edges: np.ndarray, codes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The tails of ``rows`` as bit sets: by 512 tails, then by row, eight words each."""
+def _tails_of(edges: np.ndarray, codes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``rows``, tail) of all tails that these rows are in."""
     lengths = np.diff(edges)[rows]
     owner = np.repeat(np.arange(len(rows)), lengths)
-    mine = codes[np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths - edges[rows], lengths)].astype(np.int64)
-    bits = np.zeros((int(mine.max()) // 512 + 1) * len(rows) * 8, dtype=np.uint64)
-    np.add.at(bits, (mine // 512 * len(rows) + owner) * 8 + mine % 512 // 64, np.uint64(1) << (mine % 64).astype(np.uint64))  # no tail comes twice
-    return bits.reshape(-1, len(rows), 8)
+    return owner, codes[np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths - edges[rows], lengths)].astype(np.int64)
+
+
+def _bits(owner: np.ndarray, tails: np.ndarray, rows: int) -> np.ndarray:
+    """The tails of every row as bit sets: by 512 tails, then by row, eight words each."""
+    bits = np.zeros((int(tails.max()) // 512 + 1) * rows * 8, dtype=np.uint64)
+    np.add.at(bits, (tails // 512 * rows + owner) * 8 + tails % 512 // 64, np.uint64(1) << (tails % 64).astype(np.uint64))  # no tail comes twice
+    return bits.reshape(-1, rows, 8)
+
+
+def _frequent_before(owner: np.ndarray, tails: np.ndarray, rows: int, tail: int) -> np.ndarray | None:
+    """Zeros and ones: which rows are in the tails before ``tail`` that most of them are in. Nothing if no group of rows meets before."""
+    early = tails < tail
+    counts = np.bincount(tails[early], minlength=1)
+    often = np.argsort(counts)[-64:]
+    often = often[counts[often] >= 32]
+    if not len(often):
+        return None
+    place = np.full(len(counts), -1)
+    place[often] = np.arange(len(often))
+    owner, at = owner[early], place[tails[early]]
+    out = np.zeros((rows, len(often)), dtype=np.float32)
+    out[owner[at >= 0], at[at >= 0]] = 1.0
+    return out
 
 
 def _first_collisions(bits: np.ndarray, i: np.ndarray, j: np.ndarray, tail: int, collisions: int) -> np.ndarray:
@@ -179,16 +199,18 @@ def _first_collisions(bits: np.ndarray, i: np.ndarray, j: np.ndarray, tail: int,
     below = np.where(np.arange(8) < tail % 512 // 64, ~np.uint64(0), np.uint64(0))
     below[tail % 512 // 64] = (np.uint64(1) << np.uint64(tail % 64)) - np.uint64(1)
     left = left[~(bits[here][i[left]] & bits[here][j[left]] & below).any(axis=1)]
-    shared = np.zeros(len(left), dtype=np.int64)
-    for some in bits[here:]:
-        shared += np.bitwise_count(some[i[left]] & some[j[left]]).sum(axis=1, dtype=np.int64)
+    shared, few = np.zeros(len(left), dtype=np.int64), np.arange(len(left))
+    for some in bits[here:]:  # counted on while they are too few
+        shared[few] += np.bitwise_count(some[i[left[few]]] & some[j[left[few]]]).sum(axis=1, dtype=np.int64)
+        few = few[shared[few] < collisions]
     return left[shared >= collisions]
 
 
-def _near_pairs(single: np.ndarray, value: np.ndarray, side: np.ndarray | None, cosine: float, window: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_pairs(single: np.ndarray, value: np.ndarray, side: np.ndarray | None, before: np.ndarray | None, cosine: float, window: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a query window (rows are sorted by value) whose cosine may be ``cosine``, a few at a time.
 
-    Rows of one side are compared with those of the other, without sides all with one another.
+    Rows of one side are compared with those of the other, without sides all with one another. Pairs with a common column in ``before``
+    meet in an earlier tail; a product drops them together, so a group of near copies is not taken apart pair by pair in every tail.
     """
     # No sum of so many products in single precision is further from the exact one.
     least = np.float32(cosine - (single.shape[1] + 8) * 1.2e-7)
@@ -199,7 +221,10 @@ def _near_pairs(single: np.ndarray, value: np.ndarray, side: np.ndarray | None,
         mine = a[lo:lo + 256]
         start = lo if side is None else int(np.searchsorted(there, value[mine[0]] - window, side="left"))
         reach = int(np.searchsorted(there, value[mine[-1]] + window, side="right"))
-        flat = np.flatnonzero(single[mine] @ others[start:reach].T >= least)
+        near = single[mine] @ others[start:reach].T >= least
+        if before is not None and near.any():
+            near &= before[mine] @ before[b[start:reach]].T == 0
+        flat = np.flatnonzero(near)
         for at in range(0, len(flat), 1 << 16):
             i, j = np.divmod(flat[at:at + (1 << 16)], reach - start)
             i, j = mine[i], b[start + j]
@@ -231,12 +256,12 @@ def _joined(low: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _count_links(cosine: float, collisions: int, window: float, plan: dict[int, tuple[int, float, int]], kind: np.dtype):
-    def tail_links(tail: int, row: np.ndarray, side: np.ndarray | None, value: np.ndarray, copies: np.ndarray, raw: np.ndarray, tails_of) -> pa.Table:
+    def tail_links(tail: int, row: np.ndarray, side: np.ndarray | None, value: np.ndarray, copies: np.ndarray, raw: np.ndarray, owner: np.ndarray, tails: np.ndarray) -> pa.Table:
         unit = _units(raw)
         count, low = np.zeros(len(row), dtype=np.int64), np.arange(len(row))
-        bits = None
-        for i, j in _near_pairs(unit.astype(np.float32), value, side, cosine, window):
-            bits = tails_of() if bits is None else bits
+        bits, before = None, _frequent_before(owner, tails, len(row), tail)
+        for i, j in _near_pairs(unit.astype(np.float32), value, side, before, cosine, window):
+            bits = _bits(owner, tails, len(row)) if bits is None else bits
             first = _first_collisions(bits, i, j, tail, collisions)
             i, j = i[first], j[first]
             linked = [np.einsum("ij,ij->i", unit[i[k:k + 8192]], unit[j[k:k + 8192]]) >= cosine for k in range(0, len(i), 8192)]
@@ -254,7 +279,7 @@ def _count_links(cosine: float, collisions: int, window: float, plan: dict[int,
         edges, codes = _values(table["codes"], _code(plan[size][0]))
         order = np.lexsort((row, value, tail))
         return pa.concat_tables([
-            tail_links(int(tail[mine[0]]), row[mine], side[mine] if split else None, value[mine], copies[mine], raw[mine], lambda mine=mine: _bits(edges, codes, mine))
+            tail_links(int(tail[mine[0]]), row[mine], side[mine] if split else None, value[mine], copies[mine], raw[mine], *_tails_of(edges, codes, mine))
             for mine in np.split(order, np.flatnonzero(np.diff(tail[order])) + 1)])
 
     return links
